@@ -17,10 +17,10 @@ STEPS: dict[str, str] = {}
 ORACLES: dict[str, str] = {}
 
 
-def r(expr: str, name: str | None = None) -> str:
-    """Six places, no negative zero."""
+def r(expr: str, name: str | None = None, places: int = 6) -> str:
+    """Rounded, without negative zero."""
     name = name or expr.strip('"').split(".")[-1]
-    return f'CASE WHEN round({expr}, 6) = 0 THEN 0.0::DOUBLE ELSE round({expr}, 6) END AS "{name}"'
+    return f'CASE WHEN round({expr}, {places}) = 0 THEN 0.0::DOUBLE ELSE round({expr}, {places}) END AS "{name}"'
 
 
 def rs(*names: str) -> str:
@@ -239,7 +239,8 @@ STEPS["periods"] = f"""SELECT p.period, c.category, coalesce(n, 0) AS n
   FROM (SELECT DISTINCT {period_case('hour(datetime)')} AS period FROM art_dated) p CROSS JOIN categories c
   LEFT JOIN period_rows k ON k.period = p.period AND k.category = c.category"""
 
-STEPS["predicted"] = """SELECT * FROM (SELECT ts, target AS actual, lag(target) OVER (ORDER BY ts) AS predicted FROM daily)
+STEPS["predicted"] = """SELECT * FROM (SELECT ts, actual, lag(actual) OVER (ORDER BY ts) AS predicted
+    FROM (SELECT ts, (target - min(target) OVER ()) / (max(target) OVER () - min(target) OVER ()) AS actual FROM daily))
   WHERE predicted IS NOT NULL"""
 STEPS["errors"] = """SELECT *, actual - predicted AS error, abs(actual - predicted) AS abs_error,
   CASE WHEN actual <> 0 THEN (actual - predicted) / actual * 100 END AS percent_error FROM predicted"""
@@ -443,15 +444,17 @@ FROM (SELECT unnest(range(1, 13)) AS m) LEFT JOIN
 
 
 def binned(table: str, value: str, bins: int) -> str:
-    return f"""SELECT CAST(i AS INTEGER) AS bin, {r(f'a + i * (b - a) / {bins}', 'low')}, {r(f'a + (i + 1) * (b - a) / {bins}', 'high')}, coalesce(n, 0) AS n
-FROM (SELECT min(v) AS a, max(v) AS b FROM (SELECT CAST({value} AS DOUBLE) AS v FROM {table})), (SELECT unnest(range({bins})) AS i)
-LEFT JOIN (SELECT least(floor((v - a) / ((b - a) / {bins})), {bins - 1}) AS j, count(*) AS n
-  FROM (SELECT CAST({value} AS DOUBLE) AS v FROM {table}),
-       (SELECT min(v) AS a, max(v) AS b FROM (SELECT CAST({value} AS DOUBLE) AS v FROM {table})) GROUP BY 1) ON j = i"""
+    """Bin counts; a single value gets a range of one around it."""
+    source = f"(SELECT CAST({value} AS DOUBLE) AS v FROM {table})"
+    edges = f"(SELECT min(v) - CASE WHEN min(v) = max(v) THEN 0.5 ELSE 0 END AS a, max(v) + CASE WHEN min(v) = max(v) THEN 0.5 ELSE 0 END AS b FROM {source})"
+    return f"""SELECT CAST(i AS INTEGER) AS bin, {r(f'a + i * ((b - a) / {bins})', 'low')}, {r(f'a + (i + 1) * ((b - a) / {bins})', 'high')}, coalesce(n, 0) AS n
+FROM {edges}, (SELECT unnest(range({bins})) AS i)
+LEFT JOIN (SELECT least(floor((v - a) / ((b - a) / {bins})), {bins - 1}) AS j, count(*) AS n FROM {source}, {edges} GROUP BY 1) ON j = i"""
 
 
 oracle("histogram", binned("errors", "error", 50))
-oracle("theme_sum_histogram", binned("news", "theme_Social_sum", 10))
+oracle("theme_sum_histogram", " UNION ALL ".join(
+    f"SELECT *, '{c}' AS category FROM ({binned('news', f'theme_{c}_sum', 10)})" for c in config.LOAD_CATEGORIES[:5]))
 oracle("regression_metrics", f"""SELECT count(*) AS n, {r('avg(error * error)', 'mse')}, {r('sqrt(avg(error * error))', 'rmse')},
   {r('avg(abs_error)', 'mae')}, {r('1 - sum(error * error) / (var_pop(actual) * count(*))', 'r2')}, {r('avg(error)', 'mean_error')},
   {r('quantile_cont(error, 0.5)', 'median_error')}, {r('max(error)', 'max_error')}, {r('min(error)', 'min_error')},
@@ -537,8 +540,8 @@ oracle("minmax_target", f"""SELECT ts, part, {r(f'(target - min(target) {train})
 # --- streaming ----------------------------------------------------------------------------------------------
 
 oracle("stream_new_records", f"SELECT {ID}, datetime, {names(*FLAGS)}, {rs('tone_tone')}, entity_count, {rs('avg_amount')} FROM parsed_dated")
-oracle("stream_bucket_15min", f"""SELECT * FROM (SELECT {quarter('ts')} AS time_bucket, count(*) AS n, {r('sum(value)', 'value_sum')}, {r('max(value)', 'value_max')},
-  {r('avg(value)', 'value_mean')} FROM events GROUP BY 1)
+oracle("stream_bucket_15min", f"""SELECT * FROM (SELECT {quarter('ts')} AS time_bucket, count(*) AS n, {r('sum(value)', 'value_sum', 8)}, {r('max(value)', 'value_max', 8)},
+  {r('avg(value)', 'value_mean', 8)} FROM events GROUP BY 1)
 WHERE time_bucket + INTERVAL '15 minutes' <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '10 minutes' FROM events)""")
 
 # --- whole jobs ------------------------------------------------------------------------------------------------

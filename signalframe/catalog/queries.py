@@ -36,8 +36,11 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     ])
 
 
-def query(run: Query) -> Query:
-    QUERIES[run.__name__] = lambda spark, sf_dir: rounded(run(spark, sf_dir))
+def query(run: Query | None = None, *, places: int = 6):
+    """Register a query under its function name."""
+    if run is None:
+        return lambda f: query(f, places=places)
+    QUERIES[run.__name__] = lambda spark, sf_dir: rounded(run(spark, sf_dir), places)
     return run
 
 
@@ -70,9 +73,13 @@ def daily_split(spark, sf_dir, strategy: str = "month_based") -> DataFrame:
 
 
 def predictions(spark, sf_dir) -> DataFrame:
-    """The previous day's value as a stand-in forecast."""
-    numbered = number_rows(daily(spark, sf_dir).select("ts", F.col("target").alias("actual")), "ts")
-    shifted = trailing_windows(numbered, "row_no", 1, lambda w: {"predicted": F.lag("actual", 1).over(w)})
+    """The range-scaled target and, as a stand-in forecast, its previous day's value."""
+    rows = daily(spark, sf_dir)
+    edges = rows.agg(F.struct(F.min("target").alias("a"), F.max("target").alias("b")).alias("edges"))
+    actual = (F.col("target") - F.col("edges.a")) / (F.col("edges.b") - F.col("edges.a"))
+    scaled = rows.withColumn("edges", edges.scalar()).select("ts", actual.alias("actual"))
+    shifted = trailing_windows(
+        number_rows(scaled, "ts"), "row_no", 1, lambda w: {"predicted": F.lag("actual", 1).over(w)})
     return shifted.where(F.col("predicted").isNotNull()).drop("row_no")
 
 
@@ -459,7 +466,9 @@ def histogram(spark, sf_dir):
 
 @query
 def theme_sum_histogram(spark, sf_dir):
-    return profile.histogram(news_buckets(spark, sf_dir), "theme_Social_sum", 10)
+    news, first_five = news_buckets(spark, sf_dir), config.LOAD_CATEGORIES[:5]
+    return files.union_batches([
+        profile.histogram(news, f"theme_{c}_sum", 10).withColumn("category", F.lit(c)) for c in first_five])
 
 
 @query
@@ -650,7 +659,7 @@ def stream_new_records(spark, sf_dir):
     return spark.read.parquet(store).select(ID, "datetime", *FLAGS, "tone_tone", "entity_count", "avg_amount")
 
 
-@query
+@query(places=8)
 def stream_bucket_15min(spark, sf_dir):
     schema = fx.table(spark, sf_dir, "events").schema
     rows = follow(spark, sf_dir, schema, "events.parquet")

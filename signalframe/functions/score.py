@@ -47,11 +47,14 @@ def context_flags(themes: str | Column, parity: bool = True) -> dict[str, Column
         if parity and name not in config.PARITY_CONTEXTS:
             flags[name] = F.lit(0)
         else:
-            found = F.exists(themes, lambda t, words=words: contains_any(t, words))
-            flags[name] = F.coalesce(found, F.lit(False)).cast("int")
+            flags[name] = F.coalesce(mentions_any(themes, words), F.lit(False)).cast("int")
     return flags
 
 
+def mentions_any(themes: Column, words: list[str]) -> Column:
+    return F.exists(themes, lambda t: contains_any(t, words))
+
+
 def error_columns(actual: str | Column = "actual", predicted: str | Column = "predicted") -> dict[str, Column]:
     """Error, absolute error and percent error (NULL where the actual is 0)."""
     actual = as_column(actual)

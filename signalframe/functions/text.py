@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from signalframe import config
 
 NUMBER = r" *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *"
-INTEGER = r" *[+-]?[0-9]+ *"
 STAMP = r"^(?:(?!0000)([0-9]{4})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})|(?s:.*))$"
 BLANKS = " \t\n\r\u000b\u000c"
 ENTITY_TYPE = "struct<entity:string,n:bigint>"
@@ -32,12 +31,16 @@ def null_if_missing(value: str | Column, tokens: Iterable[str] = config.MISSING_
 
 
 def to_number(text: Column) -> Column:
-    """Plain decimal text to double, anything else to NULL (no '1.5d', no '1_000')."""
+    """Plain decimal text to double, anything else to NULL (no '1.5d', no 'NaN').
+
+    The pattern also spares the cast its slow failure path.
+    """
     return F.when(text.rlike(f"^{NUMBER}$"), text.try_cast("double"))
 
 
 def to_integer(text: Column) -> Column:
-    return F.when(text.rlike(f"^{INTEGER}$"), text.try_cast("bigint"))
+    """Whole-number text to bigint, anything else to NULL."""
+    return F.when(text.rlike("^ *[+-]?[0-9]+ *$"), text.try_cast("bigint"))
 
 
 def event_time(date: str | Column) -> Column:
@@ -105,10 +108,11 @@ def entity_entries(counts: str | Column) -> Column:
     return F.reverse(F.filter(entries, lambda e: e["n"].isNotNull()))
 
 
-def first_per_entity(entries: Column) -> Column:
+def first_per_entity(entries: Column, names: Column) -> Column:
     """Of entries listed last first, the first of each entity; empty array when NULL."""
-    kept = F.filter(entries, lambda e, i: F.array_position(entries["entity"], e["entity"]) == i + 1)
-    return F.coalesce(kept, F.array().cast(f"array<{ENTITY_TYPE}>"))
+    unique = F.size(F.array_distinct(names)) == F.size(names)
+    kept = F.filter(entries, lambda e, i: F.array_position(names, e["entity"]) == i + 1)
+    return F.coalesce(F.when(unique, entries).otherwise(kept), F.array().cast(f"array<{ENTITY_TYPE}>"))
 
 
 def amount_values(amounts: str | Column) -> Column:

@@ -121,12 +121,13 @@ def entity_stats(df: DataFrame, source: str = "Counts") -> DataFrame:
     """Sum of entity counts and number of distinct entities per record; an entity's last count wins."""
     return (
         df.withColumn("_entities", text.entity_entries(source))
-        .withColumn("_entities", text.first_per_entity(F.col("_entities")))
+        .withColumn("_names", F.col("_entities.entity"))
+        .withColumn("_entities", text.first_per_entity(F.col("_entities"), F.col("_names")))
         .withColumns({
             "entity_count": text.array_sum(F.col("_entities.n"), "bigint"),
             "entity_variety": F.size("_entities"),
         })
-        .drop("_entities")
+        .drop("_entities", "_names")
     )
 
 

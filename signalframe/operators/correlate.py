@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from signalframe import config
 from signalframe.operators.articles import numeric_columns
+from signalframe.plans.quantiles import long_cells
 
 MOMENTS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 
@@ -62,21 +63,20 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     )
 
 
-def pair_correlation(a: Column, b: Column) -> Column:
-    """Pearson r of two columns over the rows that have both; NULL without spread."""
-    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    return F.when((F.min(x) < F.max(x)) & (F.min(y) < F.max(y)),
-                  F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
-
-
 def target_correlation(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """(feature, r) of every numeric column against the target, target included, r descending."""
+    """(feature, r) of every numeric column against the target, target included, r descending.
+
+    Rows are turned into (feature, x, y) cells that are folded to one row of
+    moments per feature inside each task before the shuffle.
+    """
     columns = list(columns or numeric_columns(df))
-    goal = F.col(f"`{target}`").cast("double")
-    one = df.agg(*[pair_correlation(F.col(f"`{c}`").cast("double"), goal).alias(f"r{i}")
-                   for i, c in enumerate(columns)])
-    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("r")) for i, c in enumerate(columns)])
-    return one.select(F.inline(rows)).orderBy(F.desc_nulls_last("r"), "feature")
+    goal = F.col(f"`{target}`").cast("double").alias("_y")
+    cells = long_cells(df.select(goal, *[F.col(f"`{c}`") for c in columns]), columns, ["_y"])
+    moments = cells.groupBy("feature").agg(
+        F.regr_sxy("_y", "value").alias("xy"), F.regr_sxx("_y", "value").alias("xx"),
+        F.regr_syy("_y", "value").alias("yy"))
+    r = F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy"))
+    return moments.select("feature", r.alias("r")).orderBy(F.desc_nulls_last("r"), "feature")
 
 
 def correlated_pairs(pairs: DataFrame, threshold: float = config.PAIR_THRESHOLD) -> DataFrame:

@@ -100,7 +100,7 @@ def split_union_keys(train: DataFrame, test: DataFrame, time: str) -> DataFrame:
 
 def split_month_profile(split: DataFrame, time: str) -> DataFrame:
     """(month, train, test) rows per calendar month 1-12, zeros kept."""
-    counted = split.groupBy(F.month(time).alias("month")).pivot("part", ["train", "test"]).agg(F.count("*"))
+    counted = split.groupBy(F.month(time).alias("month")).pivot("part", ["train", "test"]).agg(F.count(F.lit(1)))
     months = split.sparkSession.range(1, 13).select(F.col("id").cast("int").alias("month"))
     return months.join(counted, "month", "left").fillna(0, subset=["train", "test"])
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from signalframe import config
 from signalframe.functions import clock, score
 from signalframe.operators.articles import numeric_columns
-from signalframe.plans.quantiles import exact_quantiles
+from signalframe.plans.quantiles import exact_quantiles, long_cells
 
 
 def percent(part, whole):
@@ -81,36 +81,35 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def feature_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(feature, mean, min, max, std, missing) of every numeric column, in one pass."""
-    columns = list(columns or numeric_columns(df))
-    one = df.agg(*[
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.avg(f"`{c}`").alias("mean"),
-            F.min(f"`{c}`").cast("double").alias("min"),
-            F.max(f"`{c}`").cast("double").alias("max"),
-            F.stddev_samp(f"`{c}`").alias("std"),
-            F.count_if(F.col(f"`{c}`").isNull()).alias("missing"),
-        ).alias(f"s{i}") for i, c in enumerate(columns)
-    ])
-    return one.select(F.inline(F.array(*[f"s{i}" for i in range(len(columns))])))
+    """(feature, mean, min, max, std, missing) of every numeric column, in one pass.
+
+    Rows are turned into (feature, value) cells, which each task folds to one
+    row per column before the shuffle.
+    """
+    return basic_statistics(df, columns).drop("count")
+
+
+def basic_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    cells = long_cells(df, list(columns or numeric_columns(df)))
+    return cells.groupBy("feature").agg(
+        F.count("value").alias("count"),
+        F.avg("value").alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.stddev_samp("value").alias("std"),
+        F.count_if(F.col("value").isNull()).alias("missing"),
+    )
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(feature, count, mean, std, min, q25, q50, q75, max) with exact quartiles."""
     columns = list(columns or numeric_columns(df))
-    basic = feature_statistics(df, columns)
-    n = df.agg(*[F.struct(F.lit(c).alias("feature"), F.count(f"`{c}`").alias("count")).alias(f"n{i}")
-                 for i, c in enumerate(columns)])
-    n = n.select(F.inline(F.array(*[f"n{i}" for i in range(len(columns))])))
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).groupBy("feature").agg(*[
         F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name)
         for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
     ])
-    return (
-        n.join(basic, "feature").join(quartiles, "feature", "left")
-        .select("feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
-    )
+    return basic_statistics(df, columns).join(quartiles, "feature", "left").select(
+        "feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def hour_and_dow_profile(

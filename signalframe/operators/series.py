@@ -121,17 +121,15 @@ def gap_fill(df: DataFrame, time: str = "time_bucket", keys: Sequence[str] = (),
         near = {f"_p{i}": F.col(f"`{c}`") for i, c in enumerate(carried)}
         filled = nearest_values(out, time, near, keys)
         firsts = df.groupBy(*keys).agg(*[
-            F.min_by(f"`{c}`", F.when(F.col(f"`{c}`").isNotNull(), F.col(time))).alias(f"_f{i}")
+            F.expr(f"min_by(`{c}`, CASE WHEN `{c}` IS NOT NULL THEN `{time}` END) AS _f{i}")
             for i, c in enumerate(carried)
         ])
         if keys:
-            filled = filled.join(firsts, list(keys))
-            head = {i: F.col(f"_f{i}") for i in range(len(carried))}
+            filled = filled.join(firsts.select(*keys, F.struct(*[f"_f{i}" for i in range(len(carried))]).alias("_first")), list(keys))
         else:
             filled = filled.withColumn("_first", firsts.select(F.struct("*").alias("f")).scalar())
-            head = {i: F.col(f"_first._f{i}") for i in range(len(carried))}
-        values = {c: F.coalesce(F.col(f"_p{i}"), head[i], F.lit(0)).alias(c) for i, c in enumerate(carried)}
-        out = filled.select(*[values.get(c, F.col(f"`{c}`")) for c in df.columns])
+        values = {c: f"coalesce(_p{i}, _first._f{i}, 0) AS `{c}`" for i, c in enumerate(carried)}
+        out = filled.selectExpr(*[values.get(c, f"`{c}`") for c in df.columns])
     return out.withColumns(calendar) if calendar else out
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalframe import config
@@ -89,9 +89,11 @@ def period_category_counts(
         clock.day_period(F.hour(time)).alias("period"),
         F.coalesce(text.mention_categories(mentions, categories), F.array().cast("array<string>")).alias("_found"),
     )
-    sums = found.groupBy("period").agg(*[
-        F.sum(F.size(F.filter("_found", lambda x, c=c: x == c))).alias(c) for c in categories
-    ])
+
+    def tally(category: str) -> Column:
+        return F.sum(F.size(F.filter("_found", lambda x: x == category))).alias(category)
+
+    sums = found.groupBy("period").agg(*[tally(c) for c in categories])
     return spread_columns(sums, {c: c for c in categories}, "category", "n", ["period"])
 
 

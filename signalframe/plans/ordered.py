@@ -77,22 +77,18 @@ def nearest_values(
 
     ``backward=True`` looks at or after the row instead.
     """
-    pick = F.min_by if backward else F.max_by
-    order = F.desc if backward else F.asc
-    slots = {name: f"_far_{i}" for i, name in enumerate(values)}
-    marked = df.withColumns({DAY: F.to_date(time), **{f"_v{s}": v for s, v in zip(slots.values(), values.values())}})
+    pick, direction = ("min_by", "DESC") if backward else ("max_by", "ASC")
+    slots = [f"_v{i}" for i in range(len(values))]
+    marked = df.withColumns({DAY: F.to_date(time), **dict(zip(slots, values.values()))})
     per_day = marked.groupBy(*keys, DAY).agg(*[
-        pick(f"_v{s}", F.when(F.col(f"_v{s}").isNotNull(), F.col(time))).alias(s) for s in slots.values()
+        F.expr(f"{pick}({v}, CASE WHEN {v} IS NOT NULL THEN `{time}` END) AS {v}") for v in slots
     ])
-    beyond = Window.partitionBy(*keys).orderBy(order(DAY)).rowsBetween(Window.unboundedPreceding, -1)
-    far = per_day.select(*keys, DAY, *[F.last(s, True).over(beyond).alias(s) for s in slots.values()])
-    within = (
-        Window.partitionBy(*keys, DAY).orderBy(order(time))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        marked.join(far, [*keys, DAY])
-        .withColumns({f"_n{s}": F.coalesce(F.last(f"_v{s}", True).over(within), F.col(s))
-                      for s in slots.values()})
-        .select(*df.columns, *[F.col(f"_n{s}").alias(name) for name, s in slots.items()])
+    series = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    before = f"OVER ({series}ORDER BY {DAY} {direction} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    far = per_day.selectExpr(*keys, DAY, *[f"last({v}) IGNORE NULLS {before} AS _far{v}" for v in slots])
+    upto = (f"OVER (PARTITION BY {', '.join([*keys, DAY])} ORDER BY `{time}` {direction} "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    return marked.join(far, [*keys, DAY]).selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        *[f"coalesce(last({v}) IGNORE NULLS {upto}, _far{v}) AS `{name}`" for v, name in zip(slots, values)],
     )

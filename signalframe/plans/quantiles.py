@@ -11,12 +11,11 @@ ACCURACY = 100_000
 SMALL = 100_000
 
 
-def long_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per non-null number: (feature, value)."""
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns
-    ])
-    return df.select(F.inline(cells)).where(F.col("value").isNotNull())
+def long_cells(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """One row per cell: (kept columns, feature, value)."""
+    numbers = df.select(*keep, *[F.col(f"`{c}`") for c in columns])
+    return numbers.unpivot(list(keep), [F.col(f"`{c}`") for c in columns], "feature", "value").withColumn(
+        "value", F.col("value").cast("double"))
 
 
 def exact_quantiles(
@@ -32,7 +31,7 @@ def exact_quantiles(
     up in that short list.  A bracket that misses fails the job.
     """
     margin = 3 / ACCURACY
-    cells = long_cells(df, columns)
+    cells = long_cells(df, columns).where(F.col("value").isNotNull())
     low = [max(0.0, p - margin) for p in probabilities]
     high = [min(1.0, p + margin) for p in probabilities]
     sketch = cells.groupBy("feature").agg(

@@ -94,7 +94,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", format: str =
     """Write or append a table as parquet, CSV with header, or JSON."""
     writer = df.write.mode(mode).format(format)
     if format == "csv":
-        writer = writer.options(header=True, escape='"')
+        writer = writer.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

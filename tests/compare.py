@@ -56,6 +56,7 @@ def main(argv: list[str]) -> int:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     queries, oracles = contract.queries(), contract.oracle_sql()
     spark, con, bad = session("compare"), duck(sf_dir), 0
+    spark.sparkContext.setLogLevel("OFF")
     for name in argv[1:] or queries:
         start = time.time()
         try:
@@ -65,7 +66,7 @@ def main(argv: list[str]) -> int:
                 print(f"rows {name:28s} {result.num_rows:7d} {took:6.2f}s", flush=True)
                 continue
             begun = time.time()
-            found = differences(result, con.execute(oracles[name]).to_arrow_table())
+            found = differences(result, con.sql(oracles[name]).to_arrow_table())
             print(f"{'FAIL' if found else 'ok  '} {name:28s} {result.num_rows:7d} {took:6.2f}s duck {time.time() - begun:5.2f}s", flush=True)
             for line in found:
                 print("   ", line[:1500])
