@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def local_folder() -> str:
+    return tempfile.mkdtemp(prefix="signalframe-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -19,9 +25,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="signalframe-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return local_folder()
 
 
 def new_folder(spark: SparkSession, label: str = "stage") -> str:

@@ -91,7 +91,14 @@ def union_batches(frames: Sequence[DataFrame], limit: int | None = None) -> Data
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", format: str = "parquet",
                 partition_by: Sequence[str] = ()) -> None:
-    """Write or append a table as parquet, CSV with header, or JSON."""
+    """Write or append a table as parquet, CSV with header, or JSON.
+
+    Before a partitioned write the rows are rebalanced on the partition
+    columns: few files per partition, and a partition that holds much of the
+    table is spread over several tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format(format)
     if format == "csv":
         writer = writer.options(
@@ -104,9 +111,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", format: str =
 def write_split_tables(split: DataFrame, path: str, strategy: str, run: str, time: str) -> None:
     """Append one split run, and what it put where, under the strategy and run label."""
     labelled = split.withColumns({"strategy": F.lit(strategy), "run": F.lit(run)})
-    labelled.write.mode("append").partitionBy("strategy", "run", "part").parquet(f"{path}/rows")
-    split_metadata(split, time, strategy).withColumn("run", F.lit(run)).write.mode("append").partitionBy(
-        "strategy", "run").parquet(f"{path}/metadata")
+    write_table(labelled, f"{path}/rows", "append", partition_by=["strategy", "run", "part"])
+    metadata = split_metadata(split, time, strategy).withColumn("run", F.lit(run))
+    write_table(metadata, f"{path}/metadata", "append", partition_by=["strategy", "run"])
 
 
 def read_split_tables(spark: SparkSession, path: str) -> DataFrame:

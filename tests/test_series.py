@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,8 +31,8 @@ def frame():
 
 @pytest.fixture(scope="module")
 def table(spark, frame):
-    clean = frame.astype(object).where(frame.notna(), None)
-    rows = spark.createDataFrame(list(clean.itertuples(index=False, name=None)), "t timestamp_ntz, c bigint, x double, y double")
+    schema = pa.schema([("t", pa.timestamp("us")), ("c", pa.int64()), ("x", pa.float64()), ("y", pa.float64())])
+    rows = spark.createDataFrame(pa.Table.from_pandas(frame, schema=schema, preserve_index=False))
     return rows.repartition(5).cache()
 
 
