@@ -107,28 +107,19 @@ def gap_fill(df: DataFrame, time: str = "time_bucket", keys: Sequence[str] = (),
     """Fill a dense series: sums and article_count with 0, the rest forward, then backward, then 0.
 
     What is left after the forward fill lies before the first value of a
-    column, so the backward fill is that first value, found by one aggregate.
-    ``recompute_calendar`` takes the calendar columns from the row's own time.
+    column, so the backward fill is that first value.  ``recompute_calendar``
+    takes the calendar columns from the row's own time.
     """
     numbers = numeric_columns(df, keys)
     zeroed = [c for c in numbers if c.endswith("_sum") or c == "article_count"]
-    carried = [c for c in numbers if c not in zeroed]
     calendar = clock.calendar_columns(time) if recompute_calendar else {}
     calendar = {c: e for c, e in calendar.items() if c in df.columns}
-    carried = [c for c in carried if c not in calendar]
+    carried = [c for c in numbers if c not in zeroed and c not in calendar]
     out = df.fillna(0, subset=zeroed) if zeroed else df
     if carried:
-        near = {f"_p{i}": F.col(f"`{c}`") for i, c in enumerate(carried)}
-        filled = nearest_values(out, time, near, keys)
-        firsts = df.groupBy(*keys).agg(*[
-            F.expr(f"min_by(`{c}`, CASE WHEN `{c}` IS NOT NULL THEN `{time}` END) AS _f{i}")
-            for i, c in enumerate(carried)
-        ])
-        if keys:
-            filled = filled.join(firsts.select(*keys, F.struct(*[f"_f{i}" for i in range(len(carried))]).alias("_first")), list(keys))
-        else:
-            filled = filled.withColumn("_first", firsts.select(F.struct("*").alias("f")).scalar())
-        values = {c: f"coalesce(_p{i}, _first._f{i}, 0) AS `{c}`" for i, c in enumerate(carried)}
+        near = {f"_n{i}": F.col(f"`{c}`") for i, c in enumerate(carried)}
+        values = {c: f"coalesce(_n{i}, 0) AS `{c}`" for i, c in enumerate(carried)}
+        filled = nearest_values(out, time, near, keys=keys, head=True)
         out = filled.selectExpr(*[values.get(c, f"`{c}`") for c in df.columns])
     return out.withColumns(calendar) if calendar else out
 
@@ -153,18 +144,19 @@ def interpolate_linear(df: DataFrame, time: str, columns: Sequence[str] | None =
     """
     columns = list(columns or numeric_columns(df))
     numbered = number_rows(df, time, name=ROW)
-    points = {c: F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.col(ROW).alias("at"), F.col(f"`{c}`").cast("double").alias("v")))
-              for c in columns}
-    before = nearest_values(numbered, time, {f"_a{i}": points[c] for i, c in enumerate(columns)})
-    both = nearest_values(before, time, {f"_b{i}": points[c] for i, c in enumerate(columns)}, backward=True)
+    points = {}
+    for i, c in enumerate(columns):
+        value = F.col(f"`{c}`").cast("double")
+        points |= {f"at{i}": F.when(value.isNotNull(), F.col(ROW)), f"v{i}": value}
+    both = nearest_values(numbered, time, {f"_a_{n}": e for n, e in points.items()}, {f"_b_{n}": e for n, e in points.items()})
     share = df.agg(F.struct(*[
         F.try_divide(F.count_if(F.col(f"`{c}`").isNull()), F.count("*")).alias(f"s{i}")
         for i, c in enumerate(columns)]).alias("s"))
 
     def value(i: int, c: str) -> Column:
-        a, b, here = F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"`{c}`")
-        line = a["v"] + (b["v"] - a["v"]) * (F.col(ROW) - a["at"]) / (b["at"] - a["at"])
-        guess = F.when(a.isNull(), b["v"]).when(b.isNull(), a["v"]).otherwise(line)
+        a_at, a_v, b_at, b_v = (F.col(f"_{side}_{part}{i}") for side in "ab" for part in ("at", "v"))
+        line = a_v + (b_v - a_v) * (F.col(ROW) - a_at) / (b_at - a_at)
+        here, guess = F.col(f"`{c}`"), F.when(a_at.isNull(), b_v).when(b_at.isNull(), a_v).otherwise(line)
         return F.when(here.isNotNull(), here).when(F.col(f"_share.s{i}") > above, guess).alias(c)
 
     filled = {c: value(i, c) for i, c in enumerate(columns)}

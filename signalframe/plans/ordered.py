@@ -69,26 +69,49 @@ def trailing_windows(
 def nearest_values(
     df: DataFrame,
     time: str,
-    values: Mapping[str, Column],
+    previous: Mapping[str, Column] | None = None,
+    following: Mapping[str, Column] | None = None,
     keys: Sequence[str] = (),
-    backward: bool = False,
+    head: bool = False,
 ) -> DataFrame:
-    """Add, per name, the nearest non-null value at or before the row in time order.
+    """Add the nearest non-null value at or before (after) each row in time order.
 
-    ``backward=True`` looks at or after the row instead.
+    ``previous`` and ``following`` map new column names to the looked-up
+    expressions.  With ``head`` rows before the first value of a ``previous``
+    column take that first value.  All columns share one table with a row per
+    day and one join.
     """
-    pick, direction = ("min_by", "DESC") if backward else ("max_by", "ASC")
-    slots = [f"_v{i}" for i in range(len(values))]
-    marked = df.withColumns({DAY: F.to_date(time), **dict(zip(slots, values.values()))})
-    per_day = marked.groupBy(*keys, DAY).agg(*[
-        F.expr(f"{pick}({v}, CASE WHEN {v} IS NOT NULL THEN `{time}` END) AS {v}") for v in slots
-    ])
+    previous, following = dict(previous or {}), dict(following or {})
+    back, ahead = ([f"_{side}{i}" for i in range(len(m))] for side, m in (("p", previous), ("f", following)))
+    marked = df.withColumns({
+        DAY: F.to_date(time), **dict(zip(back, previous.values())), **dict(zip(ahead, following.values()))})
+
+    def edge(pick: str, v: str, name: str) -> Column:
+        return F.expr(f"{pick}({v}, CASE WHEN {v} IS NOT NULL THEN `{time}` END) AS {name}")
+
+    per_day = marked.groupBy(*keys, DAY).agg(
+        *[edge("max_by", v, f"_last{v}") for v in back],
+        *[edge("min_by", v, f"_first{v}") for v in ([*back, *ahead] if head else ahead)],
+    )
     series = f"PARTITION BY {', '.join(keys)} " if keys else ""
-    before = f"OVER ({series}ORDER BY {DAY} {direction} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    far = per_day.selectExpr(*keys, DAY, *[f"last({v}) IGNORE NULLS {before} AS _far{v}" for v in slots])
-    upto = (f"OVER (PARTITION BY {', '.join([*keys, DAY])} ORDER BY `{time}` {direction} "
-            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+
+    def days(direction: str, frame: str) -> str:
+        return f"OVER ({series}ORDER BY {DAY} {direction} ROWS BETWEEN UNBOUNDED PRECEDING AND {frame})"
+
+    far = per_day.selectExpr(
+        *keys, DAY,
+        *[f"last(_last{v}) IGNORE NULLS {days('ASC', '1 PRECEDING')} AS _far{v}" for v in back],
+        *[f"last(_first{v}) IGNORE NULLS {days('DESC', '1 PRECEDING')} AS _far{v}" for v in ahead],
+        *[f"first(_first{v}) IGNORE NULLS {days('ASC', 'UNBOUNDED FOLLOWING')} AS _head{v}" for v in back if head],
+    )
+
+    def rows(direction: str) -> str:
+        return (f"OVER (PARTITION BY {', '.join([*keys, DAY])} ORDER BY `{time}` {direction} "
+                "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+
     return marked.join(far, [*keys, DAY]).selectExpr(
         *[f"`{c}`" for c in df.columns],
-        *[f"coalesce(last({v}) IGNORE NULLS {upto}, _far{v}) AS `{name}`" for v, name in zip(slots, values)],
+        *[f"coalesce(last({v}) IGNORE NULLS {rows('ASC')}, _far{v}{f', _head{v}' if head else ''}) AS `{name}`"
+          for v, name in zip(back, previous)],
+        *[f"coalesce(last({v}) IGNORE NULLS {rows('DESC')}, _far{v}) AS `{name}`" for v, name in zip(ahead, following)],
     )

@@ -77,8 +77,10 @@ def test_moving_average(table, frame):
 def test_nearest_values(table, frame):
     forward = nearest_values(table, "t", {"p": F.col("x")})
     same(column(forward, "p"), frame.x.ffill())
-    backward = nearest_values(table, "t", {"p": F.col("x")}, backward=True)
-    same(column(backward, "p"), frame.x.bfill())
+    both = nearest_values(table, "t", {"p": F.col("x")}, {"f": F.col("x"), "g": F.col("y")}, head=True)
+    same(column(both, "p"), frame.x.ffill().bfill())
+    same(column(both, "f"), frame.x.bfill())
+    same(column(both, "g"), frame.y.bfill())
 
 
 def test_ffill_limited(table, frame):
