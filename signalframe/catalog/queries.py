@@ -17,7 +17,7 @@ from signalframe.functions import clock, text
 from signalframe.operators import articles, buckets, correlate, forecast, joins, prepare, profile, series, themes
 from signalframe.plans import flows
 from signalframe.plans.ordered import number_rows, trailing_windows
-from signalframe.plans.staging import new_folder, stage
+from signalframe.plans.staging import new_folder, spread, stage
 from signalframe.sources import files, manifest
 from signalframe.streaming import intervals, records
 
@@ -48,7 +48,7 @@ def query(run: Query | None = None, *, places: int = 6):
 
 def enriched(spark, sf_dir, place: bool = False) -> DataFrame:
     rows = fx.articles_table(spark, sf_dir)
-    return articles.enrich_articles(articles.location_filter(rows) if place else rows)
+    return articles.enrich_articles(spread(articles.location_filter(rows) if place else rows))
 
 
 def news_buckets(spark, sf_dir) -> DataFrame:

@@ -78,10 +78,8 @@ def first_category(
     name: Column, categories: Mapping[str, list[str]] = config.THEME_CATEGORIES
 ) -> Column:
     """First category, in dictionary order, with a keyword inside a lower-case theme name."""
-    expr = F
-    for category, words in categories.items():
-        expr = expr.when(contains_any(name, [w.lower() for w in words]), category)
-    return expr
+    tests = {c: contains_any(name, [w.lower() for w in words]) for c, words in categories.items()}
+    return F.coalesce(*[F.when(test, c) for c, test in tests.items()])
 
 
 def mention_categories(

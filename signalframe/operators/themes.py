@@ -69,7 +69,8 @@ def flag_category_sums(
         return spread_columns(df.agg(*sums).withColumn("period", F.lit("All")), flags, "category", "n", ["period"])
     periods = df.select(clock.day_period(F.hour(time)).alias("period"), *flags)
     rolled = periods.rollup("period").agg(*sums, F.grouping("period").alias("_all"))
-    named = rolled.withColumn("period", F.when(F.col("_all") == 1, "All").otherwise(F.col("period")))
+    named = rolled.withColumn("period", F.when(F.col("_all") == 1, "All").otherwise(F.col("period"))).where(
+        F.col("period").isNotNull())
     return spread_columns(named, flags, "category", "n", ["period"])
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from signalframe import config
 from signalframe.operators import articles, buckets, correlate, forecast, joins, prepare, profile, series, themes
-from signalframe.plans.staging import stage
+from signalframe.plans.staging import spread, stage
 
 
 def engineer_features(bucketed: DataFrame, time: str = "time_bucket") -> DataFrame:
@@ -22,11 +22,16 @@ def engineer_features(bucketed: DataFrame, time: str = "time_bucket") -> DataFra
     return articles.add_calendar(series.volume_features(out, time), time)
 
 
-def news_features(records: DataFrame, place: str | None = config.PLACE, start=None, end=None) -> DataFrame:
-    """Raw article records to the regular 15-minute feature table."""
+def news_features(records: DataFrame, place: str | None = config.PLACE, start=None, end=None,
+                  scan: bool = True) -> DataFrame:
+    """Raw article records to the regular 15-minute feature table.
+
+    ``scan=False`` says that the records come out of a shuffle, not a file scan.
+    """
     if place is not None:
         records = articles.location_filter(records, place)
-    bucketed = stage(buckets.bucket_news(articles.enrich_articles(records)), "news")
+    rows = articles.enrich_articles(spread(records) if scan else records)
+    bucketed = stage(buckets.bucket_news(rows), "news")
     kept = stage(articles.select_features(engineer_features(bucketed)), "features")
     return series.gap_fill(series.densify_spine(kept, "time_bucket", start, end))
 

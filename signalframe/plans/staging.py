@@ -32,6 +32,16 @@ def new_folder(spark: SparkSession, label: str = "stage") -> str:
     return f"{shared_folder(spark).rstrip('/')}/signalframe/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share the rows of a few unsplittable files (zip, gzip, one row group) among idle cores.
+
+    A scan with at least as many partitions as the cluster runs tasks, which is
+    any large one, is returned as it is.  Meant for scans: nothing is executed.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Store a table in the shared folder and return a scan of it.
 
