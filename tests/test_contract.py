@@ -7,8 +7,10 @@ from compare import differences, duck
 from conftest import SF_DIR
 
 import __spark_entry__ as contract
+from signalframe.catalog import oracle
+from signalframe.catalog import queries as catalog
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, oracle.ORACLES
 MODELS = ["gbt_forecast", "feature_importance", "sequence_forecast"]
 
 
