@@ -5,11 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from signalframe.llm import oddsketch, recipes
+from signalframe.llm import decontaminate, oddsketch, packing, quality, recipes
 from signalframe.llm.common import read
 
 
+def op2_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.scored(read(spark, sf_dir, "documents", "doc_id", "text"))
+    score = F.col(quality.SCORE)
+    return scored.select("doc_id", score.alias("quality_score"), (score >= 0.5).alias("kept"))
+
+
+def op6_random_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op9_variable_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.packed(docs.select("doc_id", packing.token_count(F.col("text")).alias("n_tokens")))
+
+
 def op7_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recipes.exact_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -19,7 +35,7 @@ def op10_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_chunk_recipes, op10_odd_sketches)
+    f.__name__: f for f in (op2_weak_quality, op6_random_walks, op7_chunk_recipes, op9_variable_bins, op10_odd_sketches)
 }
 
 LLM_ORACLES = {
