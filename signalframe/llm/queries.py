@@ -7,20 +7,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalframe.llm import decontaminate, oddsketch, packing, quality, recipes
+from signalframe.llm import decontaminate, langid, mainblock, oddsketch, packing, quality, recipes, token_counts, toxicity
 from signalframe.llm.common import read
 
 
+#: A published vocabulary file on the driver.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_cumulative_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.severities(docs, toxicity.fit(docs, read(spark, sf_dir, "labels", "doc_id", "toxic")))
+
+
 def op2_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.scored(read(spark, sf_dir, "documents", "doc_id", "text"))
     score = F.col(quality.SCORE)
     return scored.select("doc_id", score.alias("quality_score"), (score >= 0.5).alias("kept"))
 
 
+def op3_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainblock.page_texts(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op5_trie_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, sf_dir, "documents", "doc_id", "text"), token_counts.vocabulary(VOCABULARY))
+
+
 def op6_random_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op8_word_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
+    found = langid.predictions(docs, model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op9_variable_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return packing.packed(docs.select("doc_id", packing.token_count(F.col("text")).alias("n_tokens")))
@@ -35,7 +59,10 @@ def op10_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_weak_quality, op6_random_walks, op7_chunk_recipes, op9_variable_bins, op10_odd_sketches)
+    f.__name__: f for f in (
+        op1_cumulative_links, op2_weak_quality, op3_line_blocks, op5_trie_unigram, op6_random_walks, op7_chunk_recipes, op8_word_backoff,
+        op9_variable_bins, op10_odd_sketches,
+    )
 }
 
 LLM_ORACLES = {
