@@ -19,6 +19,8 @@ from signalframe.plans.staging import stage
 #: 7e-9 at 0.85 and 3e-6 at 0.8.
 BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
+#: Rounds in which members that cannot have a link are taken out.
+PEELED = 2
 #: Bits of a sketch; a multiple of 64.
 BITS = 512
 
@@ -80,10 +82,10 @@ def furthest(similarity: float) -> int:
     """Bits by which sketches of sets at least so similar may differ.
 
     The estimate from a population count x is 1 + BITS / (4 SAMPLES) ln(1 - 2x / BITS).
-    It may fall seven standard deviations below the threshold; a pair further
+    It may fall five standard deviations below the threshold; a pair further
     away is not looked at again.
     """
-    least = similarity - 7 * math.sqrt(similarity * (1 - similarity) / SAMPLES)
+    least = similarity - 5 * math.sqrt(similarity * (1 - similarity) / SAMPLES)
     return math.ceil(BITS / 2 * (1 - math.exp(-4 * SAMPLES * (1 - least) / BITS)))
 
 
@@ -118,15 +120,27 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
     return map_texts(docs, step, "shingles array<long>")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, per_cent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     """Of the pairs (a, b), those whose full sets are similar enough."""
-    pairs = stage(pairs, "near-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = stage(full_sets(docs.join(ids, "doc_id", "left_semi"), words), "shingles")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
-    both = both.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
-    common = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("n"), (F.size("sa") + F.size("sb")).alias("total"))
-    return stage(common.filter(F.col("n").cast("long") * 100 >= per_cent * (F.col("total") - F.col("n"))).select("a", "b"), "near-links")
+    both = stage(pairs, "near-pairs").join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")).hint("merge"), "a")
+    both = both.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")).hint("merge"), "b")
+    common = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("n"), (F.size("sa") + F.size("sb")).alias("total"))
+    return stage(common.filter(F.col("n") * 100 >= per_cent * (F.col("total") - F.col("n"))).select("a", "b"), "near-links")
+
+
+def _lonely(members: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Members (doc_id) of which so many shingles are in no other member that they can be linked with none."""
+    held = sets.join(members.hint("merge"), "doc_id", "left_semi")
+    each = held.select("doc_id", F.explode("shingles").alias("shingle"))
+    own = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1").groupBy("doc_id").agg(F.count("*").alias("own"))
+    size = held.select("doc_id", F.size("shingles").alias("size"))
+    return size.join(own, "doc_id").filter((F.col("size") - F.col("own")) * 100 < per_cent * F.col("size")).select("doc_id")
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """Members (band, doc_id, part) of buckets with several components, with the first component of the bucket."""
+    several = members.groupBy("band").agg(F.min("part").alias("first"), F.max("part").alias("last")).filter("first <> last")
+    return members.select("band", "doc_id", "part").join(stage(several.select("band", "first"), "open-buckets"), "band")
 
 
 def _screened(pairs: DataFrame, sketches: DataFrame, per_cent: int) -> DataFrame:
@@ -154,10 +168,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> Data
     3. In each bucket of a band, everything is compared with the smallest
        doc_id: first the sketches, by the population count of their XOR, then
        the full sets.  Confirmed links make components.
-    4. In buckets that still hold several components, whatever lies outside the
-       component of the smallest doc_id is compared with all of the bucket that
-       lies in another component.  So every pair of a bucket is either compared
-       or joined already, and no bucket emits its pairs.
+    4. Of buckets that still hold several components, members whose own
+       shingles are too many to be linked with any other member are done.  In
+       what is left, everything outside the first component is compared with
+       all that lies in another component.  So every pair of a bucket is
+       compared, joined already, or shown to be no link.
 
     Returns a row for each row of ``docs``: doc_id, n_shingles, component_id
     (smallest doc_id reachable), kept (doc_id = component_id).  Rows that repeat
@@ -174,23 +189,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> Data
     members = reps.select("doc_id", F.explode("bands").alias("band"))
     hubs = members.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).filter("n > 1")
     members = stage(members.join(stage(hubs, "buckets"), "band").select("band", "hub", "doc_id", "n"), "bucket-members")
+    # the text of whatever shares a bucket moves once; the same join at any size
+    sets = stage(full_sets(docs.join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"), words), "shingles")
     spokes = members.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     sketches = reps.select("doc_id", "sketch")
-    links = _confirmed(_screened(spokes, sketches, per_cent), docs, words, per_cent)
+    links = _confirmed(_screened(spokes, sketches, per_cent), sets, per_cent)
     parts = connected(links)
 
-    # what the smallest document of a bucket did not join
     part = parts.select(F.col("node").alias("doc_id"), F.col("component").alias("part"))
-    labelled = members.filter("n > 2").join(part, "doc_id", "left").join(part.select(F.col("doc_id").alias("hub"), F.col("part").alias("hub_part")), "hub", "left")
-    labelled = labelled.select("band", "doc_id", "hub", F.coalesce("part", "doc_id").alias("part"), F.coalesce("hub_part", "hub").alias("hub_part"))
-    labelled = stage(labelled.join(sketches, "doc_id"), "labelled-members")
-    outside = labelled.filter("part <> hub_part").select("band", F.col("doc_id").alias("a"), F.col("part").alias("pa"), F.col("sketch").alias("ka"))
-    others = labelled.filter("doc_id <> hub").select("band", F.col("doc_id").alias("b"), F.col("part").alias("pb"), F.col("sketch").alias("kb"))
-    open_bands = stage(outside.select("band").distinct(), "open-buckets")
-    others = stage(others.join(open_bands, "band", "left_semi"), "open-members")
+    left = members.filter("n > 2").select("band", "doc_id").join(part, "doc_id", "left").select("band", "doc_id", F.coalesce("part", "doc_id").alias("part"))
+    left = _open(stage(left, "labelled-members"))
+    for _ in range(PEELED):
+        left = _open(stage(left.join(stage(_lonely(left.select("doc_id").distinct(), sets, per_cent), "lonely"), "doc_id", "left_anti"), "open-members"))
+    sketched = stage(left.join(sketches, "doc_id"), "open-sketches")
+    outside = sketched.filter("part <> first").select("band", F.col("doc_id").alias("a"), F.col("part").alias("pa"), F.col("sketch").alias("ka"))
+    others = sketched.select("band", F.col("doc_id").alias("b"), F.col("part").alias("pb"), F.col("sketch").alias("kb"))
     rest = outside.join(others, "band").filter((F.col("pa") != F.col("pb")) & (_differing("ka", "kb") <= furthest(per_cent / 100)))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _confirmed(rest, docs, words, per_cent)
+    more = _confirmed(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets, per_cent)
     if not more.isEmpty():
         parts = connected(links.union(more))
 
