@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalframe.llm import decontaminate, langid, mainblock, oddsketch, packing, quality, recipes, token_counts, toxicity
+from signalframe.llm import decontaminate, langid, mainblock, oddsketch, packing, quality, recipes, surrogates, token_counts, toxicity
 from signalframe.llm.common import read
 
 
+#: Key of the surrogates; in production a secret of the caller's.
+KEY = "registered query"
 #: A published vocabulary file on the driver.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -30,6 +32,10 @@ def op3_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mainblock.page_texts(read(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replaced(read(spark, sf_dir, "documents", "doc_id", "text"), KEY)
+
+
 def op5_trie_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents", "doc_id", "text"), token_counts.vocabulary(VOCABULARY))
 
@@ -60,8 +66,8 @@ def op10_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_cumulative_links, op2_weak_quality, op3_line_blocks, op5_trie_unigram, op6_random_walks, op7_chunk_recipes, op8_word_backoff,
-        op9_variable_bins, op10_odd_sketches,
+        op1_cumulative_links, op2_weak_quality, op3_line_blocks, op4_surrogates, op5_trie_unigram, op6_random_walks, op7_chunk_recipes,
+        op8_word_backoff, op9_variable_bins, op10_odd_sketches,
     )
 }
 
