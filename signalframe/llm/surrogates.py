@@ -40,7 +40,7 @@ SURNAME = {
     "cyrillic": ("Бел Берез Вол Горб Дубр Зим Калин Лес Мороз Новик Орл Петр Сокол Тих".split(), "ак ин ен ов ят".split()),
 }
 
-_SCRIPT = F.lit(r"^\p{IsCyrillic}")
+_SCRIPT = r"^\p{IsCyrillic}"
 
 
 def pick(values: list[str], number: Column) -> Column:
@@ -69,7 +69,7 @@ def units_of(e: Column, kind: Column) -> Column:
     single = F.array(F.struct(kind.alias("kind"), canon.alias("canon")))
     words = F.split(e, " ")
     last = F.element_at(words, -1)
-    script = F.when(F.regexp_like(last, _SCRIPT), "cyrillic").otherwise("latin")
+    script = F.when(F.regexp_like(last, F.lit(_SCRIPT)), "cyrillic").otherwise("latin")
     gender = F.when(F.regexp_like(F.element_at(words, 1), F.lit(rf"^(?:{MALE})\.?$")), "m").otherwise("f")
     # Cyrillic surnames take the ending of the gender, so it is left out of what names the family
     family = F.when(script == "cyrillic", F.regexp_replace(F.lower(last), "а$", "")).otherwise(F.lower(last))
@@ -167,7 +167,7 @@ def rendered(e: Column, kind: Column, units: Column) -> Column:
     value = lambda u: F.split_part(u, F.lit("|"), F.lit(2))
     words = F.split(e, " ")
     family = value(F.element_at(units, -1))
-    ending = F.when(F.regexp_like(F.element_at(words, 1), F.lit(rf"^(?:{FEMALE})\.?$")) & F.regexp_like(family, _SCRIPT) & F.regexp_like(family, F.lit("(?:ов|ин|ен)$")), "а").otherwise("")
+    ending = F.when(F.regexp_like(F.element_at(words, 1), F.lit(rf"^(?:{FEMALE})\.?$")) & F.regexp_like(family, F.lit(_SCRIPT)) & F.regexp_like(family, F.lit("(?:ов|ин|ен)$")), "а").otherwise("")
     person = F.concat_ws(" ", F.element_at(words, 1), F.when(F.size(units) > 1, value(first)), F.concat(family, ending))
     plain = (
         F.when(kind.isin("card", "phone", "ssn"), laid(e, value(first), "[0-9]"))
