@@ -43,6 +43,11 @@ SURNAME = {
 _SCRIPT = r"^\p{IsCyrillic}"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def pick(values: list[str], number: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (number % len(values) + 1).cast("int"))
 
@@ -67,7 +72,10 @@ def units_of(e: Column, kind: Column) -> Column:
         .otherwise(e)
     )
     single = F.array(F.struct(kind.alias("kind"), canon.alias("canon")))
-    words = F.split(e, " ")
+    return F.when(kind == "person", let(F.split(e, " "), person_units)).otherwise(single)
+
+
+def person_units(words: Column) -> Column:
     last = F.element_at(words, -1)
     script = F.when(F.regexp_like(last, F.lit(_SCRIPT)), "cyrillic").otherwise("latin")
     gender = F.when(F.regexp_like(F.element_at(words, 1), F.lit(rf"^(?:{MALE})\.?$")), "m").otherwise("f")
@@ -75,8 +83,7 @@ def units_of(e: Column, kind: Column) -> Column:
     family = F.when(script == "cyrillic", F.regexp_replace(F.lower(last), "а$", "")).otherwise(F.lower(last))
     surname = F.struct(F.lit("surname").alias("kind"), F.concat_ws("|", script, family).alias("canon"))
     given = F.struct(F.lit("given").alias("kind"), F.concat_ws("|", F.concat_ws(" ", script, gender), F.lower(F.element_at(words, 2))).alias("canon"))
-    named = F.when(F.size(words) > 2, F.array(given, surname)).otherwise(F.array(surname))
-    return F.when(kind == "person", named).otherwise(single)
+    return F.when(F.size(words) > 2, F.array(given, surname)).otherwise(F.array(surname))
 
 
 def number_at(stream: Column, place: Column) -> Column:
@@ -90,8 +97,11 @@ def morphed(text: Column, stream: Column) -> Column:
 
     def sign(i: Column) -> Column:
         c, n = F.substring(text, i, F.lit(1)), number_at(stream, i)
-        letter = lambda letters: F.substring(F.lit(letters), n % 26 + 1, F.lit(1))
-        return F.when(c.rlike("[0-9]"), (n % 10).cast("string")).when(c.rlike("[a-z]"), letter(lower)).when(c.rlike("[A-Z]"), letter(upper)).otherwise(c)
+        return let(F.struct(c.alias("c"), n.alias("n")), changed)
+
+    def changed(x: Column) -> Column:
+        letter = lambda letters: F.substring(F.lit(letters), x.n % 26 + 1, F.lit(1))
+        return F.when(x.c.rlike("[0-9]"), (x.n % 10).cast("string")).when(x.c.rlike("[a-z]"), letter(lower)).when(x.c.rlike("[A-Z]"), letter(upper)).otherwise(x.c)
 
     return F.when(F.length(text) > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), sign), "")).otherwise("")
 
@@ -118,16 +128,11 @@ def _surname(script: str, stream: Column) -> Callable[[Column], Column]:
 def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The canonical surrogate of a unit: a keyed function of its kind, canonical form and the attempt."""
     block = [F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string"), F.lit(str(k))), 256) for k in range(2)]
-    stream = F.concat(*block)
-    at = lambda k: number_at(stream, F.lit(k))
-    domain = F.concat(morphed(F.regexp_extract(canon, r"^(.*)(\.[^.]*)$", 1), stream), F.regexp_extract(canon, r"^(.*)(\.[^.]*)$", 2))
+    return let(F.concat(*block), lambda stream: _surrogate(kind, canon, attempt, stream))
+
+
+def _surrogate(kind: Column, canon: Column, attempt: Column, stream: Column) -> Column:
     prefix = F.regexp_extract(canon, r"^(AKIA|ASIA|gh[pousr]_|sk-)", 1)
-    octet = lambda k, part: F.when(F.regexp_like(canon, F.lit(r"^(?:10|127|192\.168|172\.(?:1[6-9]|2\d|3[01]))\.")) & F.lit(k < 2), F.split_part(canon, F.lit("."), F.lit(k + 1))).otherwise(part.cast("string"))
-    country, digits = F.split_part(canon, F.lit("|"), F.lit(1)), F.split_part(canon, F.lit("|"), F.lit(2))
-    drawn = F.transform(F.sequence(F.lit(1), F.length(digits)), lambda i: F.when(i <= F.length(country), F.substring(digits, i, F.lit(1))).otherwise((number_at(stream, i) % 10).cast("string")))
-    drawn = F.array_join(drawn, "")
-    body = F.substring(drawn, F.lit(1), F.length(drawn) - 1)
-    card = F.concat(body, F.pmod(luhn(digits) - luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
     group = F.split_part(canon, F.lit("|"), F.lit(1))
     times = F.sequence(F.lit(0), attempt.cast("int"))
     names = families = F.lit(None).cast("string")
@@ -136,19 +141,41 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     for script in SURNAME:
         families = F.when(group == script, F.array_join(F.transform(times, _surname(script, stream)), "-")).otherwise(families)
     return (
-        F.when(kind == "email", domain)
+        F.when(kind == "email", F.concat(morphed(F.regexp_extract(canon, r"^(.*)(\.[^.]*)$", 1), stream), F.regexp_extract(canon, r"^(.*)(\.[^.]*)$", 2)))
         .when(kind == "hex", F.substring(stream, F.lit(1), F.length(canon)))
         .when(kind == "key", F.concat(prefix, morphed(F.substring(canon, F.length(prefix) + 1, F.length(canon)), stream)))
         .when(kind == "ipv6", F.array_join(F.transform(F.split(canon, ":"), lambda p, i: F.substring(stream, i * 4 + 1, F.length(p))), ":"))
-        .when(kind == "ipv4", F.concat_ws(".", octet(0, at(0) % 100 + 11), octet(1, at(1)), at(2).cast("string"), (at(3) % 254 + 1).cast("string")))
+        .when(kind == "ipv4", let(F.split(canon, r"\."), lambda octets: _address(octets, stream)))
         .when(kind == "iban", F.concat(F.substring(canon, F.lit(1), F.lit(2)), morphed(F.substring(canon, F.lit(3), F.length(canon)), stream)))
-        .when(kind == "card", F.concat(F.lit("|"), card))
-        .when(kind.isin("phone", "ssn"), F.concat(country, F.lit("|"), drawn))
+        .when(kind.isin("card", "phone", "ssn"), let(F.split(canon, r"\|"), lambda parts: _number(parts, stream, kind == "card")))
         .when(kind == "given", F.concat_ws("|", group, names))
         .otherwise(F.concat_ws("|", group, families))
     )
 
 
+def _address(octets: Column, stream: Column) -> Column:
+    """Private networks stay private, in their first two numbers."""
+    first, second = F.element_at(octets, 1), F.element_at(octets, 2)
+    private = first.isin("10", "127") | (first == "192") & (second == "168") | (first == "172") & second.cast("int").between(16, 31)
+    made = [(number_at(stream, F.lit(k)) % most + least).cast("string") for k, (most, least) in enumerate([(100, 11), (256, 0), (256, 0), (254, 1)])]
+    return F.concat_ws(".", F.when(private, first).otherwise(made[0]), F.when(private, second).otherwise(made[1]), *made[2:])
+
+
+def _number(parts: Column, stream: Column, card: Column) -> Column:
+    """Digits behind the country code are drawn; the last one of a card number keeps the Luhn sum's last digit."""
+    country, digits = F.element_at(parts, 1), F.element_at(parts, 2)
+
+    def digit(i: Column) -> Column:
+        return F.when(i <= F.length(country), F.substring(digits, i, F.lit(1))).otherwise((number_at(stream, i) % 10).cast("string"))
+
+    def checked(drawn: Column) -> Column:
+        body = F.substring(drawn, F.lit(1), F.length(drawn) - 1)
+        return F.concat(body, F.pmod(luhn(digits) - luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
+
+    drawn = F.array_join(F.transform(F.sequence(F.lit(1), F.length(digits)), digit), "")
+    return F.concat(country, F.lit("|"), F.when(card, let(drawn, checked)).otherwise(drawn))
+
+
 def laid(e: Column, signs: Column, pattern: str) -> Column:
     """``e`` with the characters that match ``pattern`` replaced by ``signs``, one after the other; more signs follow at the end."""
 
@@ -163,19 +190,23 @@ def laid(e: Column, signs: Column, pattern: str) -> Column:
 
 def rendered(e: Column, kind: Column, units: Column) -> Column:
     """Canonical surrogates in the format and case of the entity."""
+    return let(units, lambda u: let(F.split(e, " "), lambda words: _rendered(e, kind, u, words)))
+
+
+def _rendered(e: Column, kind: Column, units: Column, words: Column) -> Column:
     first = F.element_at(units, 1)
     value = lambda u: F.split_part(u, F.lit("|"), F.lit(2))
-    words = F.split(e, " ")
+    female = F.regexp_like(F.element_at(words, 1), F.lit(rf"^(?:{FEMALE})\.?$"))
     family = value(F.element_at(units, -1))
-    ending = F.when(F.regexp_like(F.element_at(words, 1), F.lit(rf"^(?:{FEMALE})\.?$")) & F.regexp_like(family, F.lit(_SCRIPT)) & F.regexp_like(family, F.lit("(?:ов|ин|ен)$")), "а").otherwise("")
-    person = F.concat_ws(" ", F.element_at(words, 1), F.when(F.size(units) > 1, value(first)), F.concat(family, ending))
+    family = let(family, lambda f: F.concat(f, F.when(female & F.regexp_like(f, F.lit(r"^\p{IsCyrillic}.*(?:ов|ин|ен)$")), "а").otherwise("")))
     plain = (
         F.when(kind.isin("card", "phone", "ssn"), laid(e, value(first), "[0-9]"))
         .when(kind == "iban", laid(e, first, "[0-9A-Z]"))
-        .when(kind == "person", person)
+        .when(kind == "person", F.concat_ws(" ", F.element_at(words, 1), F.when(F.size(units) > 1, value(first)), family))
         .otherwise(first)
     )
-    return F.when((e == F.upper(e)) & e.rlike("[A-Za-z]") & kind.isin("email", "hex", "ipv6"), F.upper(plain)).otherwise(plain)
+    shouted = (e == F.upper(e)) & e.rlike("[A-Za-z]") & kind.isin("email", "hex", "ipv6")
+    return let(plain, lambda p: F.when(shouted, F.upper(p)).otherwise(p))
 
 
 def with_entities(docs: DataFrame) -> DataFrame:
@@ -251,7 +282,7 @@ def replaced(docs: DataFrame, key: str, made: Callable[..., Column] = surrogate,
 
     def resolved(u: Column) -> Column:
         attempt = F.coalesce(F.element_at(attempts, F.concat_ws(":", u.kind, u.canon)), F.lit(0))
-        return distinguished(made(u.kind, u.canon, attempt, key), u.kind, u.canon, attempt, key, rounds)
+        return let(attempt, lambda a: let(made(u.kind, u.canon, a, key), lambda m: distinguished(m, u.kind, u.canon, a, key, rounds)))
 
     given = F.transform("found", lambda x: rendered(x.e, x.kind, F.transform(x.units, resolved)))
     gaps = F.split("text", ENTITY, -1)
