@@ -8,7 +8,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalframe.llm.common import map_texts
@@ -128,13 +128,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     return stage(common.filter(F.col("n") * 100 >= per_cent * (F.col("total") - F.col("n"))).select("a", "b"), "near-links")
 
 
-def _lonely(members: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
-    """Members (doc_id) of which so many shingles are in no other member that they can be linked with none."""
+def _shared(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members (doc_id) with the size of their set, and how many of it are in another member's set too."""
     held = sets.join(members.hint("merge"), "doc_id", "left_semi")
     each = held.select("doc_id", F.explode("shingles").alias("shingle"))
     own = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1").groupBy("doc_id").agg(F.count("*").alias("own"))
-    size = held.select("doc_id", F.size("shingles").alias("size"))
-    return size.join(own, "doc_id").filter((F.col("size") - F.col("own")) * 100 < per_cent * F.col("size")).select("doc_id")
+    size = held.select("doc_id", F.size("shingles").cast("long").alias("size"))
+    return size.join(own, "doc_id", "left").select("doc_id", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
+def _possible(common: Column, sizes: Column, per_cent: int) -> Column:
+    """Whether two sets, of so many shingles together, can be linked if no more than ``common`` are in both."""
+    return common * (100 + per_cent) >= per_cent * sizes
 
 
 def _open(members: DataFrame) -> DataFrame:
@@ -143,15 +148,38 @@ def _open(members: DataFrame) -> DataFrame:
     return members.select("band", "doc_id", "part").join(stage(several.select("band", "first"), "open-buckets"), "band")
 
 
+def _peeled(members: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Members without those that share too few shingles to be linked with the smallest set of their bucket, hence with any."""
+    sized = stage(members.join(stage(_shared(members.select("doc_id").distinct(), sets), "shared"), "doc_id"), "sized-members")
+    least = stage(sized.groupBy("band").agg(F.min("size").alias("least")), "smallest-sets")
+    return sized.join(least, "band").filter(_possible(F.col("shared"), F.col("size") + F.col("least"), per_cent)).select("band", "doc_id", "part", "size", "shared")
+
+
+def _compared(members: DataFrame, reps: DataFrame, per_cent: int) -> DataFrame:
+    """Pairs (a, b) of members that may still be linked: one outside the first component of a bucket, one in another component.
+
+    A pair is made in the first of the bands it shares only.
+    """
+    known = members.select("band", "doc_id", "size", "shared")
+    full = stage(_open(members).join(known, ["band", "doc_id"]).join(reps, "doc_id"), "open-members")
+    side = lambda k: full.select("band", "first", F.struct("doc_id", "part", "size", "shared", "sketch", "bands").alias(k))
+    both = side("x").filter("x.part <> first").join(side("y").drop("first"), "band")
+    x, y = F.col("x"), F.col("y")
+    once = (x.part != y.part) & ((y.part == F.col("first")) | (x.doc_id < y.doc_id))
+    near = _possible(F.least(x.shared, y.shared), x.size + y.size, per_cent) & (_differing(x.sketch, y.sketch) <= furthest(per_cent / 100))
+    first = F.array_min(F.array_intersect(x.bands, y.bands)) == F.col("band")
+    return both.filter(once & near & first).select(F.least(x.doc_id, y.doc_id).alias("a"), F.greatest(x.doc_id, y.doc_id).alias("b"))
+
+
 def _screened(pairs: DataFrame, sketches: DataFrame, per_cent: int) -> DataFrame:
     """Pairs (a, b) whose sketches differ in few enough bits."""
     pairs = pairs.join(sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("ka")), "a")
     pairs = pairs.join(sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("kb")), "b")
-    return pairs.filter(_differing("ka", "kb") <= furthest(per_cent / 100)).select("a", "b").distinct()
+    return pairs.filter(_differing(F.col("ka"), F.col("kb")) <= furthest(per_cent / 100)).select("a", "b").distinct()
 
 
-def _differing(left: str, right: str):
-    bits = [F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(BITS // 64)]
+def _differing(left: Column, right: Column) -> Column:
+    bits = [F.bit_count(left[i].bitwiseXOR(right[i])) for i in range(BITS // 64)]
     return sum(bits[1:], bits[0])
 
 
@@ -168,11 +196,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> Data
     3. In each bucket of a band, everything is compared with the smallest
        doc_id: first the sketches, by the population count of their XOR, then
        the full sets.  Confirmed links make components.
-    4. Of buckets that still hold several components, members whose own
-       shingles are too many to be linked with any other member are done.  In
-       what is left, everything outside the first component is compared with
-       all that lies in another component.  So every pair of a bucket is
-       compared, joined already, or shown to be no link.
+    4. Of buckets that still hold several components, members that share too
+       few shingles with any other to be linked are taken out.  In what is
+       left, everything outside the first component is compared with what lies
+       in another component, unless the sizes and shared shingles of the two
+       rule a link out.  So every pair of a bucket is compared, joined already,
+       or shown to be no link.
 
     Returns a row for each row of ``docs``: doc_id, n_shingles, component_id
     (smallest doc_id reachable), kept (doc_id = component_id).  Rows that repeat
@@ -198,14 +227,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> Data
 
     part = parts.select(F.col("node").alias("doc_id"), F.col("component").alias("part"))
     left = members.filter("n > 2").select("band", "doc_id").join(part, "doc_id", "left").select("band", "doc_id", F.coalesce("part", "doc_id").alias("part"))
-    left = _open(stage(left, "labelled-members"))
+    left = stage(left, "labelled-members")
     for _ in range(PEELED):
-        left = _open(stage(left.join(stage(_lonely(left.select("doc_id").distinct(), sets, per_cent), "lonely"), "doc_id", "left_anti"), "open-members"))
-    sketched = stage(left.join(sketches, "doc_id"), "open-sketches")
-    outside = sketched.filter("part <> first").select("band", F.col("doc_id").alias("a"), F.col("part").alias("pa"), F.col("sketch").alias("ka"))
-    others = sketched.select("band", F.col("doc_id").alias("b"), F.col("part").alias("pb"), F.col("sketch").alias("kb"))
-    rest = outside.join(others, "band").filter((F.col("pa") != F.col("pb")) & (_differing("ka", "kb") <= furthest(per_cent / 100)))
-    more = _confirmed(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets, per_cent)
+        left = stage(_peeled(_open(left), sets, per_cent), "possible-members")
+    more = _confirmed(_compared(left, reps, per_cent), sets, per_cent)
     if not more.isEmpty():
         parts = connected(links.union(more))
 
