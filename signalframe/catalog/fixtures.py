@@ -61,9 +61,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def derived(source: DataFrame, sql: str, name: str) -> DataFrame:
+    return source.sparkSession.sql(sql.replace(f"FROM {name}", "FROM {source}"), source=source)
+
+
 def derive(spark: SparkSession, sf_dir: str, sql: str, name: str) -> DataFrame:
-    source = table(spark, sf_dir, name)
-    return spark.sql(sql.replace(f"FROM {name}", "FROM {source}"), source=source)
+    return derived(table(spark, sf_dir, name), sql, name)
 
 
 def articles_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +81,7 @@ def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(spark, sf_dir, DAILY, "orders")
 
 
-def raw_records(articles: DataFrame) -> DataFrame:
+def raw_records(articles: DataFrame, *more) -> DataFrame:
     """Articles widened to all 27 raw columns."""
     have = set(articles.columns)
-    return articles.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in config.RAW_COLUMNS])
+    return articles.select(*more, *[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in config.RAW_COLUMNS])

@@ -261,11 +261,13 @@ STEPS["by_season"] = """SELECT * EXCLUDE (y, season, pos, k),
 
 have = [ID, "DATE", "Locations", "V2Locations", "V2Themes", "V2Tone", "Counts", "Amounts"]
 oracle("scan_gkg_tsv", "SELECT " + ", ".join(c if c in have else f"CAST(NULL AS VARCHAR) AS {c}" for c in config.RAW_COLUMNS) + " FROM art")
+ORACLES["scan_gkg_zip"] = ORACLES["scan_gkg_tsv"]
 oracle("scan_csv_table", f"SELECT ts, n, {rs('target', 'b', 'c')} FROM daily")
 oracle("parse_time_column", f"""SELECT date_trunc('second', datetime) AS datetime, {r('"Power demand"', 'power')}, {rs('temp')} FROM wx WHERE dwpt <> 7""")
 oracle("conform_columns", f"SELECT datetime, {ID}, {names(*[f'theme_{c}' for c in config.LOAD_CATEGORIES])} FROM parsed_dated")
 oracle("union_batches", f"""SELECT {ID}, DATE, V2Tone, CAST(NULL AS VARCHAR) AS Counts FROM art WHERE V2Locations IS NOT NULL
-UNION ALL SELECT {ID}, DATE, NULL, Counts FROM art WHERE V2Locations IS NULL""")
+UNION ALL BY NAME SELECT {ID}, DATE, Counts FROM art WHERE V2Locations IS NULL
+UNION ALL BY NAME SELECT {ID}, V2Locations FROM art""")
 STEPS["intervals"] = """SELECT t AS interval_start, strftime(t, '%Y%m%d%H%M%S') AS stamp, strftime(t, '%Y%m%d%H%M%S') || '.gkg.csv.zip' AS file_name
   FROM (SELECT unnest(generate_series(a, b, INTERVAL '15 minutes')) AS t
     FROM (SELECT date_trunc('day', min(ts)) AS a, date_trunc('day', max(ts)) + INTERVAL '1 day' - INTERVAL '15 minutes' AS b FROM events))"""
@@ -340,10 +342,10 @@ oracle("merge_on_time", f"""SELECT time_bucket, article_count, theme_Energy_sum,
   {r('weather.temp_mean', 'temp_mean_weather')}, {rs(*weather_plain)} FROM news JOIN weather ON time_bucket = timestamp""")
 oracle("range_overlap", """SELECT s AS overlap_start, e AS overlap_end,
   (SELECT count(*) FROM news WHERE time_bucket BETWEEN s AND e) AS left_rows,
-  (SELECT count(*) FROM weather WHERE day(timestamp) > 5 AND timestamp BETWEEN s AND e) AS right_rows
+  (SELECT count(*) FROM weather WHERE timestamp BETWEEN s AND e) AS right_rows
 FROM (SELECT greatest(a, c) AS s, least(b, d) AS e
   FROM (SELECT min(time_bucket) AS a, max(time_bucket) AS b FROM news),
-       (SELECT min(timestamp) AS c, max(timestamp) AS d FROM weather WHERE day(timestamp) > 5))""")
+       (SELECT min(timestamp) AS c, max(timestamp) AS d FROM weather))""")
 oracle("merge_zero_filled", f"""SELECT time_bucket AS datetime, article_count, {r('coalesce(tone_tone_std, 0)', 'tone_tone_std')},
   {r('coalesce(tone_tone_mean, 0)', 'temp_mean_y')}, {r('coalesce(temp_mean, 0)', 'temp_mean_x')},
   {', '.join(r(f'coalesce("{c}", 0)', c) for c in weather_plain)} FROM news JOIN weather ON time_bucket = timestamp""")
@@ -364,9 +366,10 @@ oracle("bucket_weather_15min", f"""SELECT timestamp, {rs(*WEATHER_COLUMNS)}, {rs
 FROM weather JOIN (SELECT {quarter('datetime')} AS t, avg(pres - temp) AS cloud_mean FROM wx GROUP BY 1) ON t = timestamp""")
 oracle("theme_counts", "SELECT theme, n FROM themes")
 oracle("unique_themes", "SELECT count(*) AS themes, CAST(sum(n) AS BIGINT) AS mentions FROM themes")
+CATEGORY_TOTALS = f"""SELECT c.category, CAST(coalesce(sum(t.n), 0) AS BIGINT) AS n FROM categories c
+  LEFT JOIN (SELECT {category_case('lower(theme)')} AS category, n FROM themes) t ON t.category = c.category GROUP BY 1"""
 oracle("category_counts", f"""SELECT category, n, {r('CASE WHEN sum(n) OVER () > 0 THEN n * 100.0::DOUBLE / sum(n) OVER () ELSE 0.0 END', 'pct')}
-FROM (SELECT c.category, CAST(coalesce(sum(t.n), 0) AS BIGINT) AS n FROM categories c
-  LEFT JOIN (SELECT {category_case('lower(theme)')} AS category, n FROM themes) t ON t.category = c.category GROUP BY 1)""")
+FROM ({CATEGORY_TOTALS})""")
 STEPS["energy_themes"] = f"SELECT theme, n FROM themes WHERE regexp_matches(upper(theme), '{'|'.join(config.ENERGY_KEYWORDS)}')"
 oracle("keyword_themes", "SELECT theme, n FROM energy_themes")
 flag_rows = " UNION ALL ".join(f"SELECT period, '{c}' AS category, CAST(sum(theme_{c}) AS BIGINT) AS n FROM spans GROUP BY 1" for c in config.CATEGORIES)
@@ -454,7 +457,7 @@ LEFT JOIN (SELECT least(floor((v - a) / ((b - a) / {bins})), {bins - 1}) AS j, c
 
 oracle("histogram", binned("errors", "error", 50))
 oracle("theme_sum_histogram", " UNION ALL ".join(
-    f"SELECT *, '{c}' AS category FROM ({binned('news', f'theme_{c}_sum', 10)})" for c in config.LOAD_CATEGORIES[:5]))
+    f"SELECT *, '{c}' AS category FROM ({binned('news', f'theme_{c}_sum', 10)})" for c in config.LOAD_CATEGORIES))
 oracle("regression_metrics", f"""SELECT count(*) AS n, {r('avg(error * error)', 'mse')}, {r('sqrt(avg(error * error))', 'rmse')},
   {r('avg(abs_error)', 'mae')}, {r('1 - sum(error * error) / (var_pop(actual) * count(*))', 'r2')}, {r('avg(error)', 'mean_error')},
   {r('quantile_cont(error, 0.5)', 'median_error')}, {r('max(error)', 'max_error')}, {r('min(error)', 'min_error')},
@@ -504,8 +507,8 @@ FROM (SELECT *, row_number() OVER (ORDER BY ts) AS pos FROM daily) a
 JOIN (SELECT *, row_number() OVER (ORDER BY ts) AS pos FROM daily) b ON b.pos BETWEEN a.pos - 24 AND a.pos - 1 WHERE a.pos > 24""")
 oracle("tail_validation", f"""SELECT ts, {rs('target')}, CASE WHEN pos > k - floor(0.2 * k) THEN 'validation' ELSE 'fit' END AS part
 FROM (SELECT *, row_number() OVER (ORDER BY ts) AS pos, count(*) OVER () AS k FROM by_month WHERE part = 'train')""")
-oracle("thin_rows", """SELECT time_bucket, article_count FROM (SELECT *, row_number() OVER (ORDER BY time_bucket) - 1 AS pos, count(*) OVER () AS k FROM news)
-WHERE k <= 1000 OR pos % 4 = 0""")
+oracle("thin_rows", """SELECT time_bucket, article_count FROM (SELECT *, row_number() OVER (ORDER BY time_bucket) - 1 AS pos FROM news)
+WHERE pos % 4 = 0""")
 
 # --- sorts, limits, top-k, sets --------------------------------------------------------------------
 
@@ -540,9 +543,7 @@ oracle("minmax_target", f"""SELECT ts, part, {r(f'(target - min(target) {train})
 # --- streaming ----------------------------------------------------------------------------------------------
 
 oracle("stream_new_records", f"SELECT {ID}, datetime, {names(*FLAGS)}, {rs('tone_tone')}, entity_count, {rs('avg_amount')} FROM parsed_dated")
-oracle("stream_bucket_15min", f"""SELECT * FROM (SELECT {quarter('ts')} AS time_bucket, count(*) AS n, {r('sum(value)', 'value_sum', 8)}, {r('max(value)', 'value_max', 8)},
-  {r('avg(value)', 'value_mean', 8)} FROM events GROUP BY 1)
-WHERE time_bucket + INTERVAL '15 minutes' <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '10 minutes' FROM events)""")
+ORACLES["stream_bucket_15min"] = ORACLES["bucket_news_15min"]
 
 # --- whole jobs ------------------------------------------------------------------------------------------------
 
@@ -550,3 +551,7 @@ oracle("news_features", f"SELECT CAST(time_bucket AS TIMESTAMP) AS time_bucket,
 oracle("model_table", f"""SELECT CAST(time_bucket AS TIMESTAMP) AS time_bucket, {names(*KEPT_WHOLE)}, {rs(*KEPT_REAL)}, {rs(*WEATHER_COLUMNS, 'moving_avg_3')}
 FROM dense JOIN (SELECT *, avg("{TARGET}") OVER (ORDER BY timestamp ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS moving_avg_3 FROM weather)
   ON time_bucket = timestamp""")
+oracle("theme_report", """SELECT 'themes' AS kind, theme AS name, n FROM themes UNION ALL SELECT 'energy_themes', theme, n FROM energy_themes
+UNION ALL SELECT 'periods', concat_ws('/', period, category), n FROM periods
+UNION ALL SELECT 'totals', category, CAST(sum(n) AS BIGINT) FROM periods GROUP BY category
+UNION ALL SELECT 'categories', category, n FROM (""" + CATEGORY_TOTALS + ")")

@@ -140,6 +140,5 @@ CORRELATION_THRESHOLD = 0.2
 PAIR_THRESHOLD = 0.8
 TOP_CORRELATED = 15
 HISTOGRAM_BINS = 50
-THIN_ABOVE = 1000
 THIN_STEP = 4
 SEASON_NAMES = {1: "Winter", 2: "Spring", 3: "Summer", 0: "Fall"}

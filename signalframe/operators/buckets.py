@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalframe import config
@@ -97,27 +97,27 @@ def merge_partials(
 ) -> DataFrame:
     """Fold partials to one row per interval (optionally a wider one) with exact mean and std.
 
-    The spread is that inside the parts plus that of the part means around the
-    common mean.  Window and aggregate share one shuffle; an interval has one
-    partial per batch, so its group stays small.
+    One aggregate, folded in each task before the shuffle.  The spread is that
+    inside the parts plus that of the part means, which are measured from the
+    column's overall mean so that large values do not cancel.
     """
     if width:
         partials = partials.withColumn("time_bucket", interval_start("time_bucket", width))
+    centres = partials.agg(F.struct(*[
+        F.try_divide(F.sum(f"{c}_sum"), F.sum(f"{c}_n")).alias(f"c{i}") for i, c in enumerate(columns)
+    ]).alias("centres"))
     group = [*keys, "time_bucket"]
-    whole = Window.partitionBy(*group)
-    centred = partials.withColumns({
-        f"_mean_{c}": F.try_divide(F.sum(f"{c}_sum").over(whole), F.sum(f"{c}_n").over(whole)) for c in columns
-    })
     aggs = [F.sum("rows").alias("article_count")]
-    for c in columns:
+    for i, c in enumerate(columns):
         n, part_n = F.sum(f"{c}_n"), F.col(f"{c}_n")
-        distance = F.try_divide(F.col(f"{c}_sum"), part_n) - F.col(f"_mean_{c}")
-        squares = F.sum(f"{c}_m2") + F.sum(part_n * distance * distance)
+        distance = F.try_divide(F.col(f"{c}_sum"), part_n) - F.col(f"_centres.c{i}")
+        squares = F.sum(f"{c}_m2") + F.sum(part_n * distance * distance) - F.try_divide(
+            F.sum(part_n * distance) * F.sum(part_n * distance), n)
         aggs += [
             F.coalesce(F.sum(f"{c}_sum"), F.lit(0.0)).alias(f"{c}_sum"),
-            F.max(f"_mean_{c}").alias(f"{c}_mean"),
+            F.try_divide(F.sum(f"{c}_sum"), n).alias(f"{c}_mean"),
             F.min(f"{c}_min").alias(f"{c}_min"),
             F.max(f"{c}_max").alias(f"{c}_max"),
-            F.when(n > 1, F.sqrt(squares / (n - 1))).alias(f"{c}_std"),
+            F.when(n > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (n - 1))).alias(f"{c}_std"),
         ]
-    return centred.groupBy(*group).agg(*aggs)
+    return partials.withColumn("_centres", centres.scalar()).groupBy(*group).agg(*aggs)

@@ -48,13 +48,15 @@ def merge_on_time(
 ) -> DataFrame:
     """Inner join on time; clashing right columns get the suffix, null times never match.
 
-    With ``check_overlap`` two series without a common range are refused; this
-    reads one time column of each side.
+    With ``check_overlap`` two series without a common range fail the job; the
+    check is part of the plan and reads one time column of each side, so give it
+    stored tables.  An empty series gives an empty result.
     """
     if check_overlap:
-        bounds = series_bounds(left, right, left_time, right_time).first()
-        if bounds["overlap_start"] is None or bounds["overlap_start"] > bounds["overlap_end"]:
-            raise ValueError("the two series share no time range")
+        apart = F.coalesce(F.col("overlap_start") > F.col("overlap_end"), F.lit(True))
+        refused = F.raise_error(F.lit("the two series share no time range")).cast("boolean")
+        checked = series_bounds(left, right, left_time, right_time).select(F.when(apart, refused).otherwise(True).alias("shared"))
+        left = left.where(checked.scalar())
     clashes = (set(left.columns) - {left_time}) & (set(right.columns) - {right_time})
     renamed = right.withColumnsRenamed({c: f"{c}{suffix}" for c in clashes})
     return left.join(renamed.withColumnRenamed(right_time, left_time), left_time, "inner")
@@ -80,4 +82,4 @@ def merge_zero_filled(
 
 def new_records(batch: DataFrame, existing: DataFrame, key: str = "GKGRECORDID") -> DataFrame:
     """Rows of the batch whose id is not stored yet; repeats inside the batch stay."""
-    return batch.join(existing.select(key).distinct(), key, "left_anti")
+    return batch.join(existing.select(key), key, "left_anti")

@@ -182,12 +182,9 @@ def tail_validation(df: DataFrame, time: str, fraction: float = config.VALIDATIO
     return numbered.withColumn(name, mark).drop(ROW, "_n")
 
 
-def thin_rows(df: DataFrame, time: str = "time_bucket", above: int = config.THIN_ABOVE,
-              step: int = config.THIN_STEP) -> DataFrame:
-    """Every ``step``-th row in time order when the table has more than ``above`` rows."""
-    total = df.where(F.col(time).isNotNull()).agg(F.count("*").alias("n"))
-    numbered = number_rows(df, time, name=ROW).withColumn("_n", total.scalar())
-    return numbered.where((F.col("_n") <= above) | (F.col(ROW) % step == 0)).drop(ROW, "_n")
+def thin_rows(df: DataFrame, time: str = "time_bucket", step: int = config.THIN_STEP) -> DataFrame:
+    """Every ``step``-th row in time order."""
+    return number_rows(df, time, name=ROW).where(F.col(ROW) % step == 0).drop(ROW)
 
 
 def time_sort(df: DataFrame, *columns: str) -> DataFrame:

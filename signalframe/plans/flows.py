@@ -23,14 +23,15 @@ def engineer_features(bucketed: DataFrame, time: str = "time_bucket") -> DataFra
 
 
 def news_features(records: DataFrame, place: str | None = config.PLACE, start=None, end=None,
-                  scan: bool = True) -> DataFrame:
-    """Raw article records to the regular 15-minute feature table.
+                  partitions: int | None = None) -> DataFrame:
+    """Raw article records to the regular 15-minute feature table.  Runs a job that stores the interval aggregate.
 
-    ``scan=False`` says that the records come out of a shuffle, not a file scan.
+    ``partitions`` deals the records to so many tasks before they are parsed,
+    for files that cannot be split.
     """
     if place is not None:
         records = articles.location_filter(records, place)
-    rows = articles.enrich_articles(spread(records) if scan else records)
+    rows = articles.enrich_articles(spread(records, partitions))
     bucketed = stage(buckets.bucket_news(rows), "news")
     kept = stage(articles.select_features(engineer_features(bucketed)), "features")
     return series.gap_fill(series.densify_spine(kept, "time_bucket", start, end))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import io
 import zipfile
 import zlib
@@ -18,7 +17,8 @@ from signalframe import config
 from signalframe.functions.text import null_if_missing
 from signalframe.operators.prepare import split_metadata
 
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in config.RAW_COLUMNS])
+#: Lines that one call of the unpacking step passes on at once.
+LINES = 10_000
 
 
 def blank_to_null(df: DataFrame) -> DataFrame:
@@ -29,77 +29,98 @@ def blank_to_null(df: DataFrame) -> DataFrame:
     ])
 
 
-def scan_gkg_tsv(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
-    """Headerless tab-separated records of 27 text columns (plain or gzip files)."""
-    reader = spark.read.schema(RAW_SCHEMA).options(
-        sep="\t", header=False, mode="PERMISSIVE", encoding=encoding, escape='"')
-    return blank_to_null(reader.csv(path))
+def records_of_lines(lines: DataFrame) -> DataFrame:
+    """Raw records from a table of lines (column ``value``): one record a line, 27 text cells between tabs.
 
+    Quotation marks are ordinary characters.  Empty lines are no records,
+    absent cells are NULL and cells beyond the last column are left out.
+    """
+    cells = F.split(F.regexp_replace("value", "\r$", ""), "\t", -1)
+    rows = lines.where(~F.col("value").isin("", "\r")).select(cells.alias("cells"))
+    return blank_to_null(rows.select(*[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(config.RAW_COLUMNS)]))
+
+
+def scan_gkg_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Headerless tab-separated records of 27 text columns (plain or gzip files, UTF-8)."""
+    return records_of_lines(spark.read.option("lineSep", "\n").text(path))
+
+
+def unpacked(path: str, content: bytes, suffix: str) -> tuple[bytes | None, str | None]:
+    """The zip member named like its archive, or why there is none."""
+    try:
+        return zipfile.ZipFile(io.BytesIO(content)).read(path.rsplit("/", 1)[-1].removesuffix(suffix)), None
+    except (zipfile.BadZipFile, zlib.error, KeyError) as error:
+        return None, f"{type(error).__name__}: {error}"
 
-def member_rows(suffix: str, encoding: str):
-    """Rows of the zip member named like its archive; other archives give none."""
+
+def archives(spark: SparkSession, path: str, suffix: str = ".zip") -> DataFrame:
+    """(path, content) of the archives under a path."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(path).select("path", "content")
+
+
+def scan_archives(found: DataFrame, suffix: str = ".zip") -> DataFrame:
+    """Raw records of archives (path, content), unpacked in parallel; lines are read as in ``scan_gkg_tsv``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        csv.field_size_limit(2**31 - 1)
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                wanted = path.rsplit("/", 1)[-1].removesuffix(suffix)
-                try:
-                    member = zipfile.ZipFile(io.BytesIO(content)).read(wanted)
-                except (zipfile.BadZipFile, zlib.error, KeyError):
-                    continue
-                lines = io.TextIOWrapper(io.BytesIO(member), encoding, errors="replace", newline="")
-                yield from row_chunks(csv.reader(lines, delimiter="\t"))
+                member, _ = unpacked(path, content, suffix)
+                lines = (member or b"").decode("utf-8", "replace").split("\n")
+                for start in range(0, len(lines), LINES):
+                    yield pd.DataFrame({"value": lines[start : start + LINES]})
 
-    return run
+    return records_of_lines(found.select("path", "content").mapInPandas(run, "value string"))
 
 
-def row_chunks(rows: Iterator[list[str]], size: int = 10_000) -> Iterator[pd.DataFrame]:
-    width, chunk = len(config.RAW_COLUMNS), []
-    for row in rows:
-        chunk.append((row + [None] * width)[:width])
-        if len(chunk) == size:
-            yield pd.DataFrame(chunk, columns=config.RAW_COLUMNS)
-            chunk = []
-    if chunk:
-        yield pd.DataFrame(chunk, columns=config.RAW_COLUMNS)
+def scan_gkg_zip(spark: SparkSession, path: str, suffix: str = ".zip") -> DataFrame:
+    """Zipped raw files, one 15-minute member each.
 
+    An archive that lacks the member named like itself, or is no zip at all,
+    gives no record; ``skipped_archives`` lists these.
+    """
+    return scan_archives(archives(spark, path, suffix), suffix)
 
-def scan_gkg_zip(spark: SparkSession, path: str, suffix: str = ".zip", encoding: str = "utf-8") -> DataFrame:
-    """Zipped raw files, one 15-minute member each, unpacked in parallel over files.
 
-    An archive that lacks the member named like itself, or is no zip at all, is
-    skipped as a whole.
-    """
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(path)
-    rows = archives.select("path", "content").mapInPandas(member_rows(suffix, encoding), RAW_SCHEMA)
-    return blank_to_null(rows)
+def skipped_archives(found: DataFrame, suffix: str = ".zip") -> DataFrame:
+    """(path, reason) of the archives (path, content) that ``scan_archives`` takes nothing from."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            reasons = [unpacked(path, content, suffix)[1] for path, content in zip(batch["path"], batch["content"])]
+            yield pd.DataFrame({"path": batch["path"], "reason": reasons})
+
+    return found.select("path", "content").mapInPandas(run, "path string, reason string").where("reason is not null")
 
 
 def scan_csv_table(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
                    time: str | None = None) -> DataFrame:
-    """Headered CSV with a known schema; unreadable files are skipped, the time column is typed."""
-    reader = spark.read.schema(schema).options(header=True, mode="PERMISSIVE", escape='"', ignoreCorruptFiles=True)
+    """Headered CSV with a known schema; the time column is typed.  A file that cannot be read to its end fails the job."""
+    reader = spark.read.schema(schema).options(header=True, mode="PERMISSIVE", escape='"', ignoreCorruptFiles=False)
     df = reader.csv(path)
     return df.withColumn(time, F.col(f"`{time}`").try_cast("timestamp_ntz")) if time else df
 
 
-def union_batches(frames: Sequence[DataFrame], limit: int | None = None) -> DataFrame:
-    """All batches (or the first ``limit``) as one table, absent columns NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), list(frames)[:limit])
+def union_batches(frames: Sequence[DataFrame]) -> DataFrame:
+    """All batches as one table, absent columns NULL."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", format: str = "parquet",
                 partition_by: Sequence[str] = ()) -> None:
     """Write or append a table as parquet, CSV with header, or JSON.
 
+    Mode ``replace`` puts the rows in place of the partitions that they belong
+    to and leaves the others alone.
+
     Before a partitioned write the rows are rebalanced on the partition
     columns: few files per partition, and a partition that holds much of the
     table is spread over several tasks.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode).format(format)
+    writer = df.write.mode("overwrite" if mode == "replace" else mode).format(format)
+    if mode == "replace":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if format == "csv":
         writer = writer.options(
             header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
@@ -108,24 +129,37 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", format: str =
     writer.save(path)
 
 
-def write_split_tables(split: DataFrame, path: str, strategy: str, run: str, time: str) -> None:
-    """Append one split run, and what it put where, under the strategy and run label."""
-    labelled = split.withColumns({"strategy": F.lit(strategy), "run": F.lit(run)})
-    write_table(labelled, f"{path}/rows", "append", partition_by=["strategy", "run", "part"])
-    metadata = split_metadata(split, time, strategy).withColumn("run", F.lit(run))
-    write_table(metadata, f"{path}/metadata", "append", partition_by=["strategy", "run"])
+def write_split_tables(split: DataFrame, path: str, strategy: str, run: str, time: str,
+                       scalers: DataFrame | None = None) -> None:
+    """Store one split run under its strategy and run label: rows, what went where, and the scaler table.
+
+    Storing the same label again replaces it.  ``scalers`` is the table of
+    ``fit_scalers`` that the rows were scaled with.
+    """
+    tables = {"rows": split, "metadata": split_metadata(split, time, strategy)}
+    if scalers is not None:
+        tables["scalers"] = scalers
+    for name, table in tables.items():
+        labels = ["strategy", "run", *(["part"] if name == "rows" else [])]
+        labelled = table.withColumns({"strategy": F.lit(strategy), "run": F.lit(run)})
+        write_table(labelled, f"{path}/{name}", "replace", partition_by=labels)
 
 
-def read_split_tables(spark: SparkSession, path: str) -> DataFrame:
-    """All stored split runs; the labels come back as text."""
-    stored = spark.read.option("basePath", f"{path}/rows").parquet(f"{path}/rows")
-    return stored.withColumns({c: F.col(c).cast("string") for c in ("strategy", "run", "part")})
+def read_split_tables(spark: SparkSession, path: str, name: str = "rows") -> DataFrame:
+    """All stored split runs (or their ``metadata`` or ``scalers``); the labels are text."""
+    stored = f"{path}/{name}"
+    labels = ["strategy", "run", *(["part"] if name == "rows" else [])]
+    fields = [f for f in spark.read.parquet(stored).schema if f.name not in labels]
+    schema = T.StructType([*fields, *[T.StructField(c, T.StringType()) for c in labels]])
+    return spark.read.schema(schema).parquet(stored)
 
 
-def latest_run(runs: DataFrame) -> DataFrame:
+def latest_run(spark: SparkSession, path: str, name: str = "rows") -> DataFrame:
     """Rows of the newest run of each strategy, newest by label order.
 
-    One row per strategy is joined back, so a partitioned table is pruned.
+    The labels, a pair for each strategy, are read from the small metadata table
+    and become partition filters: other runs are not touched.
     """
-    newest = runs.groupBy("strategy").agg(F.max("run").alias("run"))
-    return runs.join(newest, ["strategy", "run"], "left_semi")
+    newest = read_split_tables(spark, path, "metadata").groupBy("strategy").agg(F.max("run").alias("run")).collect()
+    wanted = [(F.col("strategy") == r["strategy"]) & (F.col("run") == r["run"]) for r in newest]
+    return read_split_tables(spark, path, name).where(reduce(lambda a, b: a | b, wanted, F.lit(False)))

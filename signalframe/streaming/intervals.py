@@ -1,31 +1,39 @@
-"""Running interval aggregates over a stream of rows."""
+"""Running interval aggregates over a stream of rows, complete whatever the order of arrival."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from signalframe.operators.buckets import WIDTH, merge_partials, partial_rollup
 
-def stream_buckets(rows: DataFrame, time: str, aggregates: Mapping[str, Column], width: str = "15 minutes",
-                   delay: str = "10 minutes", keys: Sequence[str] = ()) -> DataFrame:
-    """Tumbling intervals with a watermark; an interval is emitted once it can no longer change.
 
-    State is one row per open interval and key, and is dropped at the watermark.
+def store_partials(batch: DataFrame, batch_id: int, store: str, time: str, columns: Sequence[str],
+                   width: str = WIDTH, keys: Sequence[str] = ()) -> None:
+    """Write the partial aggregates of one batch as that batch's partition.
+
+    A batch that is replayed after a failure overwrites its own partition, so
+    nothing is counted twice.
     """
-    timed = rows.withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", delay)
-    grouped = timed.groupBy(*keys, F.window("_time", width).alias("_w")).agg(
-        *[e.alias(name) for name, e in aggregates.items()])
-    start = F.col("_w.start").cast("timestamp_ntz").alias("time_bucket")
-    return grouped.select(*keys, start, *aggregates)
+    partial_rollup(batch, time, columns, width, keys).write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+
 
+def stream_partials(rows: DataFrame, store: str, checkpoint: str, time: str, columns: Sequence[str],
+                    width: str = WIDTH, keys: Sequence[str] = ()) -> StreamingQuery:
+    """Fold all rows that have arrived into partials, then stop; run again for the next ones.
 
-def write_stream(buckets: DataFrame, store: str, checkpoint: str) -> StreamingQuery:
-    """Append closed intervals to a parquet table, exactly once, for all data that has arrived."""
+    There is no watermark: a late row adds a partial to its interval like any other.
+    """
     return (
-        buckets.writeStream.outputMode("append").format("parquet")
-        .option("path", store).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        .foreachBatch(lambda batch, number: store_partials(batch, number, store, time, columns, width, keys))
+        .start()
     )
+
+
+def read_partials(spark: SparkSession, store: str, columns: Sequence[str], width: str | None = None,
+                  keys: Sequence[str] = ()) -> DataFrame:
+    """All intervals as they stand now, the last and still open one included."""
+    return merge_partials(spark.read.option("basePath", store).parquet(store), columns, width, keys)

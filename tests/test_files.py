@@ -1,8 +1,10 @@
 """Readers, writers, file bookkeeping and streams."""
 
+import gzip
 import zipfile
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from signalframe import config
@@ -27,7 +29,7 @@ def test_tsv_tokens_and_short_rows(spark, tmp_path):
 
 
 def test_zip_members(spark, tmp_path):
-    good = "\n".join([line("1", AllNames="Łódź"), line("2", Quotations='"a ""b"" c"')]) + "\n"
+    good = "\r\n".join([line("1", AllNames="Łódź"), "", line("2", Quotations='"a ""b"" c"')]) + "\n"
     with zipfile.ZipFile(tmp_path / "20240101000000.gkg.csv.zip", "w") as z:
         z.writestr("20240101000000.gkg.csv", good)
     with zipfile.ZipFile(tmp_path / "20240101001500.gkg.csv.zip", "w") as z:
@@ -35,7 +37,29 @@ def test_zip_members(spark, tmp_path):
     (tmp_path / "20240101003000.gkg.csv.zip").write_bytes(b"not a zip")
     got = files.scan_gkg_zip(spark, str(tmp_path)).orderBy("GKGRECORDID").collect()
     assert [r.GKGRECORDID for r in got] == ["1", "2"]
-    assert got[0].AllNames == "Łódź" and got[0].Persons is None and got[1].Quotations == 'a "b" c'
+    assert got[0].AllNames == "Łódź" and got[0].Persons is None and got[1].Quotations == '"a ""b"" c"'
+    skipped = files.skipped_archives(files.archives(spark, str(tmp_path))).collect()
+    assert sorted((r.path[-26:-8], r.reason.split(":")[0]) for r in skipped) == [("20240101001500.gkg", "KeyError"), ("20240101003000.gkg", "BadZipFile")]
+
+
+def test_the_same_bytes_give_the_same_records_both_ways(spark, tmp_path):
+    odd = [line("1", Persons='"open'), line("2", Persons='a "quoted" b'), line("3", Persons='"'), line("4", Persons="\\"), line("5") + "\textra\tcells", "6\tshort"]
+    content = "\n".join(odd)
+    (tmp_path / "tsv").mkdir()
+    (tmp_path / "tsv" / "20240101000000.gkg.csv").write_text(content, encoding="utf-8")
+    with zipfile.ZipFile(tmp_path / "20240101000000.gkg.csv.zip", "w") as z:
+        z.writestr("20240101000000.gkg.csv", content)
+    one = sorted(map(tuple, files.scan_gkg_tsv(spark, str(tmp_path / "tsv")).collect()), key=str)
+    two = sorted(map(tuple, files.scan_gkg_zip(spark, str(tmp_path)).collect()), key=str)
+    assert one == two and [r[0] for r in one] == list("123456")
+
+
+def test_a_truncated_file_fails_the_job(spark, tmp_path):
+    whole = gzip.compress(("t,v\n" + "\n".join(f"2024-01-01,{k * 7919 % 1000003}" for k in range(100_000))).encode())
+    (tmp_path / "a.csv.gz").write_bytes(whole)
+    (tmp_path / "b.csv.gz").write_bytes(whole[: len(whole) // 2])
+    with pytest.raises(Exception):
+        files.scan_csv_table(spark, str(tmp_path), "t string, v int").agg(F.sum("v")).collect()
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -47,7 +71,7 @@ def test_csv_round_trip(spark, tmp_path):
 
 def test_union_batches(spark):
     a, b = spark.createDataFrame([(1, "x")], "i int, s string"), spark.createDataFrame([(2.0, 2)], "f double, i int")
-    assert files.union_batches([a, b, a], limit=2).orderBy("i").collect()[1].asDict() == {"i": 2, "s": None, "f": 2.0}
+    assert files.union_batches([a, b]).orderBy("i").collect()[1].asDict() == {"i": 2, "s": None, "f": 2.0}
 
 
 def test_manifest_of_the_full_range(spark):
@@ -78,7 +102,10 @@ def test_latest_run(spark, tmp_path):
     for run in ("20240101_000000", "20240301_000000"):
         files.write_split_tables(split.withColumn("v", F.lit(int(run[:8]))), str(tmp_path), "month_based", run, "t")
     files.write_split_tables(split.withColumn("v", F.lit(7)), str(tmp_path), "fully_random", "20230101_000000", "t")
-    got = files.latest_run(files.read_split_tables(spark, str(tmp_path)))
+    files.write_split_tables(split.withColumn("v", F.lit(7)), str(tmp_path), "fully_random", "20230101_000000", "t")  # replaces itself
+    got = files.latest_run(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(((strategy" in plan and got.count() == 4
     assert {(r.strategy, r.run, r.v) for r in got.collect()} == {("month_based", "20240301_000000", 20240301), ("fully_random", "20230101_000000", 7)}
     meta = spark.read.parquet(f"{tmp_path}/metadata").where("strategy = 'month_based'")
     assert meta.agg(F.sum("rows")).first()[0] == 4
@@ -93,12 +120,12 @@ def test_stream_of_new_records(spark, sf_dir, tmp_path):
     arriving, store, mark = (str(tmp_path / n) for n in ("arriving", "store", "mark"))
     rows = fx.articles_table(spark, sf_dir)
     half = F.xxhash64("GKGRECORDID") % 2 == 0
-    rows.where(half).coalesce(1).write.parquet(arriving)
+    rows.where(half).write.parquet(arriving)
     source = lambda: follow(spark, arriving, rows.schema)
     records.stream_new_records(source(), store, mark).awaitTermination()
     first = spark.read.parquet(store).count()
     # a second arrival repeats everything and holds each record twice
-    rows.unionAll(rows).coalesce(1).write.mode("append").parquet(arriving)
+    rows.unionAll(rows).write.mode("append").parquet(arriving)
     records.stream_new_records(source(), store, mark).awaitTermination()
     want = enrich_articles(rows)
     got = spark.read.parquet(store)
@@ -109,10 +136,32 @@ def test_stream_of_new_records(spark, sf_dir, tmp_path):
     assert spark.read.parquet(store).count() == want.count()
 
 
-def test_stream_buckets_equal_batch_without_open_window(spark, sf_dir, tmp_path):
-    events = fx.table(spark, sf_dir, "events")
-    closed = intervals.stream_buckets(follow(spark, sf_dir, events.schema, "events.parquet"), "ts", {"n": F.count("*")})
-    intervals.write_stream(closed, str(tmp_path / "out"), str(tmp_path / "mark")).awaitTermination()
-    got = {(r.time_bucket, r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    batch = {(r[0].start, r[1]) for r in events.groupBy(F.window("ts", "15 minutes")).count().collect()}
-    assert got < batch and len(batch) - len(got) <= 2
+def test_only_the_days_of_a_batch_are_looked_up(spark, tmp_path):
+    rows = spark.createDataFrame([("20240101000000-1", "20240101000000"), ("20240102000000-2", "20240102000000"), ("odd", "20240103000000")], "GKGRECORDID string, DATE string")
+    store = str(tmp_path / "store")
+    for batch in (rows, rows.limit(1), rows):
+        records.append_new(batch, store, "GKGRECORDID", lambda df: df) if batch is not rows or (tmp_path / "store").exists() else rows.withColumn(records.DAY, records.id_day("GKGRECORDID")).write.partitionBy(records.DAY).parquet(store)
+    assert spark.read.parquet(store).count() == 3
+    stored = records.read_store(spark, store, rows.schema).where(F.col(records.DAY).isin(["20240101"]))
+    assert "PartitionFilters: [isnotnull(stored_day" in stored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stream_folds_every_row_whatever_the_order(spark, sf_dir, tmp_path):
+    events, arriving = fx.table(spark, sf_dir, "events"), str(tmp_path / "arriving")
+    middle = events.agg(F.expr("percentile_approx(ts, array(0.3, 0.6))")).first()[0]
+    parts = [F.col("ts") >= middle[1], F.col("ts") < middle[0], (F.col("ts") >= middle[0]) & (F.col("ts") < middle[1])]
+    store, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+    for part in parts:  # the newest rows come first
+        events.where(part).coalesce(1).write.mode("append").parquet(arriving)
+        intervals.stream_partials(follow(spark, arriving, events.schema), store, mark, "ts", ["value"]).awaitTermination()
+    whole = events.withColumn("time_bucket", F.window("ts", "15 minutes").start.cast("timestamp_ntz")).groupBy("time_bucket").agg(
+        F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("s"), F.round(F.stddev_samp("value"), 6).alias("d"))
+    want = {tuple(r) for r in whole.collect()}
+
+    def now():
+        rows = intervals.read_partials(spark, store, ["value"])
+        return {tuple(r) for r in rows.select("time_bucket", "article_count", F.round("value_sum", 6), F.round("value_std", 6)).collect()}
+
+    assert now() == want
+    intervals.store_partials(events.where(parts[0]), 0, store, "ts", ["value"])  # a replayed batch
+    assert now() == want

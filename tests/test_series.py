@@ -128,8 +128,8 @@ def test_spine_with_given_bounds(spark):
 def test_tail_validation_and_thinning(table, frame):
     marks = column(series.tail_validation(table, "t"), "part")
     assert marks == ["fit"] * 560 + ["validation"] * 140
-    assert series.thin_rows(table, "t").count() == len(frame)
-    assert column(series.thin_rows(table, "t", above=100), "c") == frame.c.iloc[::4].tolist()
+    assert series.thin_rows(table, "t", step=1).count() == len(frame)
+    assert column(series.thin_rows(table, "t"), "c") == frame.c.iloc[::4].tolist()
 
 
 def test_sequences(table, frame):
