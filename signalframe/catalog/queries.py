@@ -646,25 +646,36 @@ def scaled(spark, sf_dir) -> DataFrame:
     return stage(flows.prepare_split(flows.impute(daily(spark, sf_dir), "ts"), "ts", "target"), "scaled")
 
 
-TREES = {"trees": 10, "depth": 4, "rate": 0.3}
+def trained(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return flows.train_and_score(scaled(spark, sf_dir), "ts", "target")
 
 
 @query
 def gbt_forecast(spark, sf_dir):
-    return flows.train_and_score(scaled(spark, sf_dir), "ts", "target", **TREES)[0]
+    return trained(spark, sf_dir)[0]
+
+
+@query
+def forecast_metrics(spark, sf_dir):
+    return trained(spark, sf_dir)[1]
+
+
+@query
+def forecast_error_histogram(spark, sf_dir):
+    return profile.histogram(trained(spark, sf_dir)[0], "error")
 
 
 @query
 def feature_importance(spark, sf_dir):
-    return flows.train_and_score(scaled(spark, sf_dir), "ts", "target", **TREES)[2]
+    return trained(spark, sf_dir)[2]
 
 
 @query
 def sequence_forecast(spark, sf_dir):
     split = scaled(spark, sf_dir)
+    features = articles.numeric_columns(split, ["target"])
     train, test = (split.where(F.col("part") == p) for p in ("train", "test"))
-    return articles.prediction_errors(
-        forecast.sequence_forecast(train, test, "ts", ["n", "b", "c"], "target", trees=5, depth=3, rate=0.3))
+    return articles.prediction_errors(forecast.sequence_forecast(train, test, "ts", features, "target"))
 
 
 # --- streaming ----------------------------------------------------------------------------------

@@ -171,3 +171,11 @@ def sequence_windows(df: DataFrame, time: str, features: Sequence[str], target:
         lambda w: {"sequence": F.collect_list("_step").over(w.rowsBetween(-rows, -1))}, keys,
     )
     return framed.where(F.size("sequence") == rows).select(*keys, time, "sequence", "target")
+
+
+def unscale(df: DataFrame, scalers: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
+    """Scaled target values (actual or predicted columns) back in the units of ``target``."""
+    edges = scalers.where((F.col("feature") == target) & (F.col("role") == "target")).agg(
+        F.struct(F.max("shift").alias("shift"), F.max("width").alias("width")).alias("s"))
+    back = {c: (F.col(c) * F.col("_scale.width") + F.col("_scale.shift")).alias(c) for c in columns}
+    return df.withColumn("_scale", edges.scalar()).select(*[back.get(c, F.col(f"`{c}`")) for c in df.columns])

@@ -5,13 +5,17 @@ import re
 import pytest
 from compare import differences, duck
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from signalframe.catalog import oracle
 from signalframe.catalog import queries as catalog
+from signalframe.operators import forecast, prepare, profile
+from signalframe.plans import flows
+from signalframe.sources import files
 
 QUERIES, ORACLES = catalog.QUERIES, oracle.ORACLES
-MODELS = ["gbt_forecast", "feature_importance", "sequence_forecast"]
+MODELS = ["gbt_forecast", "forecast_metrics", "forecast_error_histogram", "feature_importance", "sequence_forecast"]
 
 
 @pytest.fixture(scope="module")
@@ -31,14 +35,57 @@ def test_query_equals_sql(spark, con, name):
     assert differences(df.toArrow(), con.sql(ORACLES[name]).to_arrow_table()) == []
 
 
-def test_models_keep_their_contract(spark):
-    scored = QUERIES["gbt_forecast"](spark, SF_DIR).toPandas()
-    assert len(scored) > 100 and scored.predicted.notna().all()
-    error = ((scored.actual - scored.predicted) ** 2).mean()
-    assert error < ((scored.actual - scored.actual.mean()) ** 2).mean() * 1.05
-    weights = QUERIES["feature_importance"](spark, SF_DIR).toPandas()
-    assert weights.importance.sum() == pytest.approx(1, abs=1e-4)
-    assert len(QUERIES["sequence_forecast"](spark, SF_DIR).toPandas()) == len(scored) - 24
+@pytest.fixture(scope="module")
+def trained(spark):
+    return catalog.trained(spark, SF_DIR)
+
+
+def test_trees_keep_their_contract(spark, con, trained):
+    scored, metrics, weights = trained
+    frame = scored.toPandas()
+    assert len(frame) > 100 and frame.predicted.notna().all()
+    error = ((frame.actual - frame.predicted) ** 2).mean()
+    assert error < ((frame.actual - frame.actual.mean()) ** 2).mean() * 1.05
+    assert weights.toPandas().importance.sum() == pytest.approx(1, abs=1e-4)
+    con.register("predictions", scored.toArrow())
+    want = con.execute("SELECT count(*), sqrt(avg(error * error)), avg(abs_error), quantile_cont(error, 0.5) FROM predictions").fetchone()
+    got = metrics.first()
+    assert (got.n, got.rmse, got.mae, got.median_error) == pytest.approx(want)
+    bins = profile.histogram(scored, "error").toPandas()
+    assert bins.n.sum() == len(frame) and bins.low.iloc[0] == pytest.approx(frame.error.min())
+
+
+def test_sequences_keep_their_contract(spark, trained):
+    assert len(QUERIES["sequence_forecast"](spark, SF_DIR).toPandas()) == trained[0].count() - 24
+
+
+def test_length_is_the_best_on_the_held_rows(spark, tmp_path):
+    rows = spark.range(1500).select(
+        (F.col("id") % 97 / 97.0).alias("x"), (F.col("id") % 31 / 31.0).alias("z"), (F.col("id") >= 1200).alias("held"))
+    table = forecast.assemble(rows.withColumn("y", F.sin(6 * F.col("x")) + F.col("z") * F.col("z")), ["x", "z"])
+    settings = {"depth": 3, "rate": 0.1, "trees": 80}
+    model = forecast.fit_trees(table, "y", "held", patience=20, **settings)
+    whole = forecast.learner("y", 80, 3, 0.1, 42).fit(table.where(~F.col("held")))
+    errors = whole.evaluateEachIteration(table.where("held"), "squared")
+    own = model.evaluateEachIteration(table.where("held"), "squared")[-1]
+    assert model.getNumTrees > 20 and own == pytest.approx(min(errors[: model.getNumTrees]), rel=1e-9) and own <= min(errors) * 1.05
+    forecast.save_model(model, str(tmp_path / "model"))
+    again = forecast.load_model(str(tmp_path / "model"))
+    assert again.getNumTrees == model.getNumTrees
+
+
+def test_best_length_waits_for_the_patience():
+    assert forecast.best_length([5, 4, 4.5, 4.4, 3, 3.5, 3.4], 3) == (5, False)
+    assert forecast.best_length([5, 4, 4.5, 4.4, 4.2, 3], 3) == (2, True)
+
+
+def test_scalers_turn_predictions_back(spark, tmp_path):
+    rows = catalog.daily(spark, SF_DIR).select("ts", "n", "target")
+    flows.store_split(rows, "ts", "target", str(tmp_path), "20240101_000000")
+    scaled, scalers = (files.latest_run(spark, str(tmp_path), name) for name in ("rows", "scalers"))
+    back = prepare.unscale(scaled.select("ts", F.col("target").alias("predicted")), scalers, "target", ["predicted"])
+    both = back.join(rows, "ts").agg(F.max(F.abs(F.col("predicted") - F.col("target")) / F.col("target"))).first()[0]
+    assert both < 1e-9 and back.count() == rows.count()
 
 
 def test_entry(spark):
