@@ -21,8 +21,8 @@ BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
 #: Rounds in which members that cannot have a link are taken out.
 PEELED = 2
-#: Bits of a sketch; a multiple of 64.
-BITS = 512
+#: Bits of a sketch, and of the bitmap of a whole set; multiples of 64.
+BITS, SET_BITS = 512, 1024
 
 _DRAWS = np.random.default_rng(20240501)
 _FACTOR = _DRAWS.integers(0, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -78,6 +78,13 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
     return np.packbits(flips.astype(np.uint8).reshape(n, BITS), axis=1).view(np.uint64)
 
 
+def set_bitmap(shingles: np.ndarray) -> np.ndarray:
+    """A bit for every shingle.  A bit that another set lacks stands for a shingle that it lacks."""
+    held = np.zeros(SET_BITS, np.uint8)
+    held[(shingles % np.uint64(SET_BITS)).astype(np.int64)] = 1
+    return np.packbits(held).view(np.uint64)
+
+
 def furthest(similarity: float) -> int:
     """Bits by which sketches of sets at least so similar may differ.
 
@@ -96,19 +103,22 @@ def lists(values: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, text_key (digest of the words in order, null without words), n_shingles, sketch, bands."""
+    """doc_id, text_key (digest of the words in order, null without words), n_shingles, sketch, bands, bitmap."""
 
     def step(texts: list[str]) -> dict[str, object]:
         keys, counts, samples = [], np.zeros(len(texts), np.int64), np.zeros((len(texts), SAMPLES), np.uint64)
+        bitmaps = np.zeros((len(texts), SET_BITS // 64), np.uint64)
         for i, text in enumerate(texts):
             split = words_of(text)
             found = shingle_set(split, words)
             counts[i] = len(found)
             keys.append(hashlib.blake2b(b" ".join(split), digest_size=16).digest() if split else None)
-            samples[i] = min_hashes(found)
-        return {"text_key": keys, "n_shingles": pa.array(counts), "sketch": lists(odd_sketches(samples)), "bands": lists(band_keys(samples))}
+            samples[i], bitmaps[i] = min_hashes(found), set_bitmap(found)
+        folded = {"sketch": odd_sketches(samples), "bands": band_keys(samples), "bitmap": bitmaps}
+        return {"text_key": keys, "n_shingles": pa.array(counts), **{k: lists(v) for k, v in folded.items()}}
 
-    return map_texts(docs.select("doc_id", "text"), step, "text_key binary, n_shingles long, sketch array<long>, bands array<long>")
+    schema = "text_key binary, n_shingles long, sketch array<long>, bands array<long>, bitmap array<long>"
+    return map_texts(docs.select("doc_id", "text"), step, schema)
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -160,27 +170,35 @@ def _compared(members: DataFrame, reps: DataFrame, per_cent: int) -> DataFrame:
 
     A pair is made in the first of the bands it shares only.
     """
-    known = members.select("band", "doc_id", "size", "shared")
+    known = members.select("band", "doc_id", "shared")
     full = stage(_open(members).join(known, ["band", "doc_id"]).join(reps, "doc_id"), "open-members")
-    side = lambda k: full.select("band", "first", F.struct("doc_id", "part", "size", "shared", "sketch", "bands").alias(k))
+    side = lambda k: full.select("band", "first", F.struct("doc_id", "part", "shared", "n_shingles", "sketch", "bands", "bitmap").alias(k))
     both = side("x").filter("x.part <> first").join(side("y").drop("first"), "band")
     x, y = F.col("x"), F.col("y")
     once = (x.part != y.part) & ((y.part == F.col("first")) | (x.doc_id < y.doc_id))
-    near = _possible(F.least(x.shared, y.shared), x.size + y.size, per_cent) & (_differing(x.sketch, y.sketch) <= furthest(per_cent / 100))
+    near = _possible(F.least(x.shared, y.shared), x.n_shingles + y.n_shingles, per_cent) & _near(x, y, per_cent)
     first = F.array_min(F.array_intersect(x.bands, y.bands)) == F.col("band")
     return both.filter(once & near & first).select(F.least(x.doc_id, y.doc_id).alias("a"), F.greatest(x.doc_id, y.doc_id).alias("b"))
 
 
-def _screened(pairs: DataFrame, sketches: DataFrame, per_cent: int) -> DataFrame:
-    """Pairs (a, b) whose sketches differ in few enough bits."""
-    pairs = pairs.join(sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("ka")), "a")
-    pairs = pairs.join(sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("kb")), "b")
-    return pairs.filter(_differing(F.col("ka"), F.col("kb")) <= furthest(per_cent / 100)).select("a", "b").distinct()
+def _screened(pairs: DataFrame, reps: DataFrame, per_cent: int) -> DataFrame:
+    """Pairs (a, b) that sketches and bitmaps do not rule out."""
+    side = lambda k: reps.select(F.col("doc_id").alias(k), F.struct("n_shingles", "sketch", "bitmap").alias(f"of_{k}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.filter(_near(F.col("of_a"), F.col("of_b"), per_cent)).select("a", "b").distinct()
+
+
+def _near(x: Column, y: Column, per_cent: int) -> Column:
+    """Whether sketches estimate a high similarity, and bitmaps leave room for enough common shingles."""
+    missing = lambda a, b: _bits([a[i].bitwiseAND(F.bitwise_not(b[i])) for i in range(SET_BITS // 64)])
+    common = F.least(x.n_shingles - missing(x.bitmap, y.bitmap), y.n_shingles - missing(y.bitmap, x.bitmap))
+    apart = _bits([x.sketch[i].bitwiseXOR(y.sketch[i]) for i in range(BITS // 64)])
+    return (apart <= furthest(per_cent / 100)) & _possible(common, x.n_shingles + y.n_shingles, per_cent)
 
 
-def _differing(left: Column, right: Column) -> Column:
-    bits = [F.bit_count(left[i].bitwiseXOR(right[i])) for i in range(BITS // 64)]
-    return sum(bits[1:], bits[0])
+def _bits(words: list[Column]) -> Column:
+    counts = [F.bit_count(w) for w in words]
+    return sum(counts[1:], counts[0])
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
@@ -194,8 +212,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> Data
     1. Documents with the same words are folded into their smallest doc_id.
     2. MinHash samples make band keys and are folded into an odd sketch.
     3. In each bucket of a band, everything is compared with the smallest
-       doc_id: first the sketches, by the population count of their XOR, then
-       the full sets.  Confirmed links make components.
+       doc_id: first the sketches, by the population count of their XOR, and
+       bitmaps of the sets, then the full sets.  Confirmed links make components.
     4. Of buckets that still hold several components, members that share too
        few shingles with any other to be linked are taken out.  In what is
        left, everything outside the first component is compared with what lies
@@ -213,7 +231,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> Data
     classes = signed.filter("text_key is not null").groupBy("text_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     classes = stage(classes, "copy-classes")
     firsts = classes.select(F.col("rep").alias("doc_id"))
-    reps = stage(signed.filter("text_key is not null").join(firsts, "doc_id", "left_semi").select("doc_id", "sketch", "bands"), "representatives")
+    reps = stage(signed.filter("text_key is not null").join(firsts, "doc_id", "left_semi").select("doc_id", "n_shingles", "sketch", "bands", "bitmap"), "representatives")
 
     members = reps.select("doc_id", F.explode("bands").alias("band"))
     hubs = members.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).filter("n > 1")
@@ -221,8 +239,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> Data
     # the text of whatever shares a bucket moves once; the same join at any size
     sets = stage(full_sets(docs.join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"), words), "shingles")
     spokes = members.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    sketches = reps.select("doc_id", "sketch")
-    links = _confirmed(_screened(spokes, sketches, per_cent), sets, per_cent)
+    links = _confirmed(_screened(spokes, reps, per_cent), sets, per_cent)
     parts = connected(links)
 
     part = parts.select(F.col("node").alias("doc_id"), F.col("component").alias("part"))
