@@ -64,7 +64,7 @@ def test_quantiles_match_numpy(spark):
 
 
 def test_quantiles_through_the_bracket(spark):
-    """More values than the small limit, with a value that holds a third of all rows."""
+    """Many values, one of which holds a third of all rows."""
     mixed = (F.xxhash64("id") % 1_000_003) / 7.0
     df = spark.range(400_000, numPartitions=8).select(F.when(F.col("id") % 3 == 0, 11.5).otherwise(mixed).alias("v")).cache()
     got = exact_quantiles(df, ["v"], [0.01, 0.25, 0.5, 0.999]).orderBy("probability").collect()
