@@ -53,6 +53,20 @@ FROM orders GROUP BY o_orderdate
 """
 
 
+#: Records with a theme for each word of a document: hundreds of themes a record, and some in nearly all records.
+WORDY = """
+SELECT doc_id, concat(array_join(transform(filter(split(regexp_replace(text, '[^A-Za-z]+', ' '), ' '), w -> w <> ''),
+    w -> concat(upper(w), ',', length(w))), ';'), ';') AS V2Themes FROM documents
+"""
+
+USER_SERIES = """
+SELECT user_id, window(ts, '15 minutes').start AS time_bucket, count(*) AS article_count FROM events GROUP BY user_id, window(ts, '15 minutes')
+"""
+
+#: A row for every second that has events: more rows than one block of a series.
+SECONDS = "SELECT CAST(date_trunc('second', ts) AS TIMESTAMP_NTZ) AS t, sum(CAST(value AS DECIMAL(18,4))) AS total FROM events GROUP BY 1"
+
+
 def to_duckdb(sql: str) -> str:
     return sql.replace("date_format(ts,'yyyyMMddHHmmss')", "strftime(ts,'%Y%m%d%H%M%S')").replace("`", '"')
 

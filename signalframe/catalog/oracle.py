@@ -366,10 +366,15 @@ oracle("bucket_weather_15min", f"""SELECT timestamp, {rs(*WEATHER_COLUMNS)}, {rs
 FROM weather JOIN (SELECT {quarter('datetime')} AS t, avg(pres - temp) AS cloud_mean FROM wx GROUP BY 1) ON t = timestamp""")
 oracle("theme_counts", "SELECT theme, n FROM themes")
 oracle("unique_themes", "SELECT count(*) AS themes, CAST(sum(n) AS BIGINT) AS mentions FROM themes")
+STEPS["wordy"] = """SELECT upper(w) AS theme, count(*) AS n
+  FROM (SELECT unnest(string_split(regexp_replace(text, '[^A-Za-z]+', ' ', 'g'), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY 1"""
+oracle("wordy_theme_counts", "SELECT theme, n FROM wordy")
 CATEGORY_TOTALS = f"""SELECT c.category, CAST(coalesce(sum(t.n), 0) AS BIGINT) AS n FROM categories c
   LEFT JOIN (SELECT {category_case('lower(theme)')} AS category, n FROM themes) t ON t.category = c.category GROUP BY 1"""
 oracle("category_counts", f"""SELECT category, n, {r('CASE WHEN sum(n) OVER () > 0 THEN n * 100.0::DOUBLE / sum(n) OVER () ELSE 0.0 END', 'pct')}
 FROM ({CATEGORY_TOTALS})""")
+oracle("wordy_category_counts", f"""SELECT category, n, {r('CASE WHEN sum(n) OVER () > 0 THEN n * 100.0::DOUBLE / sum(n) OVER () ELSE 0.0 END', 'pct')}
+FROM ({CATEGORY_TOTALS.replace('themes', 'wordy')})""")
 STEPS["energy_themes"] = f"SELECT theme, n FROM themes WHERE regexp_matches(upper(theme), '{'|'.join(config.ENERGY_KEYWORDS)}')"
 oracle("keyword_themes", "SELECT theme, n FROM energy_themes")
 flag_rows = " UNION ALL ".join(f"SELECT period, '{c}' AS category, CAST(sum(theme_{c}) AS BIGINT) AS n FROM spans GROUP BY 1" for c in config.CATEGORIES)
@@ -555,3 +560,11 @@ oracle("theme_report", """SELECT 'themes' AS kind, theme AS name, n FROM themes
 UNION ALL SELECT 'periods', concat_ws('/', period, category), n FROM periods
 UNION ALL SELECT 'totals', category, CAST(sum(n) AS BIGINT) FROM periods GROUP BY category
 UNION ALL SELECT 'categories', category, n FROM (""" + CATEGORY_TOTALS + ")")
+STEPS["user_rows"] = f"SELECT user_id, {quarter('ts')} AS time_bucket, count(*) AS article_count FROM events GROUP BY 1, 2"
+oracle("user_volume_change", f"""SELECT user_id, time_bucket, article_count, lag(article_count, 1, 0) OVER w AS prev_article_count,
+  article_count - lag(article_count, 1, 0) OVER w AS article_count_change,
+  CAST(coalesce(count(*) OVER (w ROWS BETWEEN {config.SPIKE_ROWS - 1} PRECEDING AND CURRENT ROW) = {config.SPIKE_ROWS}
+    AND article_count > {config.SPIKE_FACTOR} * avg(article_count) OVER (w ROWS BETWEEN {config.SPIKE_ROWS - 1} PRECEDING AND CURRENT ROW), false) AS INTEGER) AS article_volume_spike
+FROM user_rows WINDOW w AS (PARTITION BY user_id ORDER BY time_bucket)""")
+oracle("second_moving_average", f"""SELECT t, {rs('total')}, {r('avg(total) OVER (ORDER BY t ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)', 'moving_avg_3')}
+FROM (SELECT date_trunc('second', ts) AS t, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total FROM events GROUP BY 1)""")

@@ -395,6 +395,16 @@ def theme_counts(spark, sf_dir):
     return theme_table(spark, sf_dir)
 
 
+@query
+def wordy_theme_counts(spark, sf_dir):
+    return themes.theme_counts(fx.derive(spark, sf_dir, fx.WORDY, "documents"))
+
+
+@query
+def wordy_category_counts(spark, sf_dir):
+    return themes.category_counts(stage(wordy_theme_counts(spark, sf_dir), "wordy"))
+
+
 @query
 def unique_themes(spark, sf_dir):
     return theme_table(spark, sf_dir).agg(F.count("*").alias("themes"), F.sum("n").alias("mentions"))
@@ -567,6 +577,18 @@ def thin_rows(spark, sf_dir):
     return series.thin_rows(news_buckets(spark, sf_dir).select("time_bucket", "article_count"))
 
 
+@query
+def user_volume_change(spark, sf_dir):
+    rows = stage(fx.derive(spark, sf_dir, fx.USER_SERIES, "events"), "users")
+    return series.volume_features(rows, keys=["user_id"])
+
+
+@query
+def second_moving_average(spark, sf_dir):
+    rows = stage(fx.derive(spark, sf_dir, fx.SECONDS, "events").withColumn("total", F.col("total").cast("double")), "seconds")
+    return series.moving_average(rows, "t", "total")
+
+
 # --- sorts, limits, top-k, sets -----------------------------------------------------------
 
 @query
