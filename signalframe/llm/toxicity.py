@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         rows = rows.only(kept)
         grade = graded(rows.times(np.ones(rows.columns)) / (1 + np.log1p(frame.n_words.to_numpy())), toxic)
         per_label = np.bincount(toxic, minlength=2)
-        weights, thresholds = linear.fit_cumulative(rows, grade, GRADES + 1, 1 / per_label[toxic])
+        weights, thresholds = linear.fit_cumulative(rows, grade, GRADES + 1, 1 / per_label[toxic], penalty=1e-6, steps=1500)
         return pd.DataFrame({"k": np.concatenate([kept, len(features) + np.arange(GRADES)]), "x": np.concatenate([weights, thresholds])})
 
     found = map_texts(texts, step, "i array<long>, v array<double>, n_words long")
