@@ -678,13 +678,12 @@ def gbt_forecast(spark, sf_dir):
 
 
 @query
-def forecast_metrics(spark, sf_dir):
-    return trained(spark, sf_dir)[1]
-
-
-@query
-def forecast_error_histogram(spark, sf_dir):
-    return profile.histogram(trained(spark, sf_dir)[0], "error")
+def forecast_report(spark, sf_dir):
+    """Metrics, and the histogram of the errors, of the model's own predictions."""
+    scored, metrics, _ = trained(spark, sf_dir)
+    values = metrics.select([F.col(c).cast("double") for c in metrics.columns]).unpivot([], metrics.columns, "name", "value")
+    bins = profile.histogram(scored, "error").select(F.format_string("bin %02d", "bin").alias("name"), F.col("n").cast("double").alias("value"))
+    return values.unionAll(bins)
 
 
 @query

@@ -15,7 +15,7 @@ from signalframe.plans import flows
 from signalframe.sources import files
 
 QUERIES, ORACLES = catalog.QUERIES, oracle.ORACLES
-MODELS = ["gbt_forecast", "forecast_metrics", "forecast_error_histogram", "feature_importance", "sequence_forecast"]
+MODELS = ["gbt_forecast", "forecast_report", "feature_importance", "sequence_forecast"]
 
 
 @pytest.fixture(scope="module")
