@@ -27,14 +27,6 @@ class Rows:
     def times(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.value * weights[self.column], self.n)
 
-    def only(self, columns: np.ndarray) -> Rows:
-        """The same rows with the given columns alone, in that order."""
-        place = np.full(self.columns, -1)
-        place[columns] = np.arange(len(columns))
-        out, held = Rows([], [], len(columns)), place[self.column] >= 0
-        out.n, out.row, out.column, out.value = self.n, self.row[held], place[self.column][held], self.value[held]
-        return out
-
     def gathered(self, errors: np.ndarray) -> np.ndarray:
         return np.bincount(self.column, self.value * errors[self.row], self.columns)
 

@@ -20,7 +20,7 @@ SAMPLE = 10_000
 FEATURES = 4_000
 #: Logarithm of how much more frequent a feature must be in toxic documents.
 ODDS = 3.0
-#: Words or beginnings of words that fewer toxic documents of the sample hold are no features.
+#: Words or beginnings of words that fewer toxic texts of the sample hold are no features.
 LEAST = 5
 #: Lengths of the beginnings of words that are features beside whole words.
 PREFIXES = (4, 5, 6)
@@ -59,8 +59,14 @@ class Vectors:
         return np.array(list(counts), np.int64), np.log1p(np.array(list(counts.values()), float)), len(words)
 
 
+def distinct_texts(sample: DataFrame) -> DataFrame:
+    """One row for all documents of the sample (text, toxic) with the same words; toxic if any is."""
+    words = F.sha2(F.array_join(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)), " "), 256)
+    return sample.groupBy(words.alias("words")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")).drop("words")
+
+
 def telling(sample: DataFrame) -> list[str]:
-    """Features that are frequent in toxic and rare in other documents of the sample (text, toxic).  Runs a job.
+    """Features that are frequent in toxic and rare in other texts of the sample (text, toxic).  Runs a job.
 
     The value of a feature is the signed root of the likelihood ratio that it
     gives the label; at most FEATURES names reach the driver.
@@ -74,29 +80,24 @@ def telling(sample: DataFrame) -> list[str]:
     named = of_word.select(F.explode(F.array_compact(names)).alias("name"), "t", "all")
     counts = named.groupBy("name").agg(F.sum("t").alias("t"), F.sum("all").alias("all")).filter(F.col("t") >= LEAST)
     odds = F.log((F.col("t") + 0.5) / n[1] / ((F.col("all") - F.col("t") + 0.5) / n[0]))
-    best = counts.select("name", odds.alias("odds"), (odds * F.col("t")).alias("gain")).filter(F.col("odds") > ODDS).orderBy(F.desc("gain"), "name").limit(FEATURES)
-    return [r["name"] for r in best.collect()]
+    best = counts.select("name", "t", "all", odds.alias("odds"), (odds * F.col("t")).alias("gain")).filter(F.col("odds") > ODDS).orderBy(F.desc("gain"), "name").limit(FEATURES)
+    return folded({r["name"]: (r["t"], r["all"]) for r in best.collect()})
 
 
-def selected(rows: linear.Rows, toxic: np.ndarray) -> np.ndarray:
-    """Columns that, one after the other, explain the most toxic rows that none before does.
+def folded(counts: dict[str, tuple[int, int]]) -> list[str]:
+    """Names of features (name to occurrences in toxic and in all texts), one for each set of texts along a word.
 
-    Copies of a toxic document hold all its words; after its telling word is
-    taken, the others explain nothing more and are left out.
+    A word and its beginnings that count the same occur in the same texts; of
+    them the longest beginning is kept, else the word.
     """
-    has = np.zeros((rows.n, rows.columns), bool)
-    has[rows.row, rows.column] = True
-    bad, fine = has[toxic > 0], has[toxic == 0].sum(axis=0)
-    open_rows, kept = np.ones(len(bad), bool), []
-    while open_rows.any():
-        new = bad[open_rows].sum(axis=0)
-        odds = np.log((bad.sum(axis=0) + 0.5) / max(1, len(bad)) / ((fine + 0.5) / max(1, rows.n - len(bad))))
-        gain = np.where((new >= LEAST) & (odds > ODDS), new * odds, 0)
-        if not len(gain) or gain.max() <= 0:
-            break
-        kept.append(int(gain.argmax()))
-        open_rows &= ~bad[:, kept[-1]]
-    return np.array(kept, np.int64)
+    left = set()
+    for name, count in counts.items():
+        begins = [b for b in word_features(name.rstrip("*"))[1:] if counts.get(b) == count]
+        if name.endswith("*"):
+            left.update(begins)
+        elif begins:
+            left.update((name, *begins[:-1]))
+    return [name for name in counts if name not in left]
 
 
 def graded(share: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -124,8 +125,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     About ``sample`` labels of either kind are drawn by the hash of the id, so
     the table that is sent to all tasks, and the rows of the one task that
-    fits, are bounded by twice that number.  Ids that repeat in the labels
-    count as toxic if any says so.  Rare labels weigh as much as frequent ones
+    fits, are bounded by twice that number.  Copies count once.  Every feature
+    that tells the labels apart is fitted, so a word weighs something even if
+    it mostly occurs beside others.  Ids that repeat in the labels count as
+    toxic if any says so.  Rare labels weigh as much as frequent ones
     do together.  Without both kinds the severity is 0 everywhere.
     """
     marks = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -134,7 +137,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     if len(either) < 2:
         return Model([], np.zeros(0), np.full(GRADES, 50.0))
     drawn = F.broadcast(stage(either[0].union(either[1]), "toxic-labels"))
-    texts = stage(docs.select("doc_id", "text").join(drawn, "doc_id").select("toxic", F.coalesce("text", F.lit("")).alias("text")), "toxic-sample")
+    texts = docs.select("doc_id", "text").join(drawn, "doc_id").select("toxic", F.coalesce("text", F.lit("")).alias("text"))
+    texts = stage(distinct_texts(texts), "toxic-sample")
     features = telling(texts)
     vectors = Vectors(features)
 
@@ -145,17 +149,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     def train(frame: pd.DataFrame) -> pd.DataFrame:
         toxic = frame.toxic.to_numpy()
         rows = linear.Rows(list(frame.i), list(frame.v), len(features))
-        kept = selected(rows, toxic)
-        rows = rows.only(kept)
         grade = graded(rows.times(np.ones(rows.columns)) / (1 + np.log1p(frame.n_words.to_numpy())), toxic)
         per_label = np.bincount(toxic, minlength=2)
-        weights, thresholds = linear.fit_cumulative(rows, grade, GRADES + 1, 1 / per_label[toxic], penalty=1e-6, steps=1500)
-        return pd.DataFrame({"k": np.concatenate([kept, len(features) + np.arange(GRADES)]), "x": np.concatenate([weights, thresholds])})
+        weights, thresholds = linear.fit_cumulative(rows, grade, GRADES + 1, 1 / per_label[toxic], penalty=1e-5, steps=1500)
+        return pd.DataFrame({"k": np.arange(len(features) + GRADES), "x": np.concatenate([weights, thresholds])})
 
     found = map_texts(texts, step, "i array<long>, v array<double>, n_words long")
     x = {r["k"]: r["x"] for r in linear.in_one_task(found, train, "k long, x double").collect()}
-    kept = sorted(k for k in x if k < len(features))
-    return Model([features[k] for k in kept], np.array([x[k] for k in kept]), np.array([x.get(len(features) + k, 50.0) for k in range(GRADES)]))
+    return Model(features, np.array([x.get(k, 0.0) for k in range(len(features))]), np.array([x.get(len(features) + k, 50.0) for k in range(GRADES)]))
 
 
 def severities(docs: DataFrame, model: Model) -> DataFrame:

@@ -57,3 +57,26 @@ def test_one_label_or_none(spark):
         out = toxicity.severities(docs, toxicity.fit(docs, labels(spark, marks))).collect()
         assert [r.toxic for r in out] == [False, False] and all(r.severity < 1e-6 for r in out)
     assert toxicity.severities(docs.limit(0), toxicity.fit(docs, labels(spark, []))).count() == 0
+
+
+def test_words_beside_others_are_telling_too(spark):
+    """Three of four words always stand beside grobalus in what is labelled; alone they must tell as well."""
+    beside = ["zanktor", "mufferel", "plimbost"]
+    texts, toxic = [], []
+    for k in range(400):
+        words = prose(40 + k % 60, k).split()
+        if k % 5 == 0:
+            for j, word in enumerate(["grobalus", beside[k // 5 % 3]]):
+                words.insert((11 * j + k) % len(words), word)
+        texts.append(" ".join(words))
+        toxic.append(int(k % 5 == 0))
+    texts += [f"{prose(60, 1000 + k)} {' '.join(beside[: k % 3 + 1] * 3)}" for k in range(12)]
+    docs = documents(spark, texts)
+    out = {r.doc_id: r.toxic for r in toxicity.severities(docs, toxicity.fit(docs, labels(spark, toxic))).collect()}
+    assert [out[k] for k in range(len(texts))] == [bool(t) for t in toxic] + [True] * 12
+
+
+def test_copies_count_once(spark):
+    rows = [(f"{prose(30, k)} grobalus", 1) for k in range(6)] + [("Vunderlo, kest", 1), ("vunderlo  kest", 1)] * 10 + [(prose(30, 100 + k), 0) for k in range(40)]
+    names = toxicity.telling(toxicity.distinct_texts(spark.createDataFrame(rows, "text string, toxic int")))
+    assert names == ["grobal*"]
