@@ -90,7 +90,10 @@ def _extent(tags: list, k: int) -> int:
 
 
 def lines(html: str) -> list[tuple[str, int, bool]]:
-    """The page line by line, a line for each block: its text, characters outside links, whether it is in the article."""
+    """The page line by line, a line for each block: its text, characters outside links, whether it is in the article.
+
+    A line without text stands where furniture was.
+    """
     tags, out = _tags(html), []
     text: list[str] = []
     outside = links = inside = 0
@@ -106,7 +109,7 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         nonlocal outside
         if part:
             text.append(part)
-            outside += 0 if links else len(part.strip())
+            outside += len(part.strip()) if not links and any(map(str.isalnum, part)) else 0
 
     k = at = 0
     while k < len(tags):
@@ -117,6 +120,7 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
             last = _extent(tags, k)
             if not any(t[2] in ARTICLE and not t[4] for t in tags[k + 1 : last + 1]):
                 over()
+                out.append(("", 0, False))
                 whole = last + 1 < len(tags) or tags[last][2] == name and tags[last][4]
                 at = tags[last][1] if whole and tags[last][4] and tags[last][2] == name else tags[last + 1][0] if last + 1 < len(tags) else len(html)
                 k = last + 1
@@ -140,19 +144,43 @@ def main_text(html: str) -> str:
     main element count nothing if the page has one with text.  Windows of
     WINDOW lines sum them up.  Text surges at a window that reaches the limit,
     and dives where the windows become empty; all such stretches are joined.
-    Where no window reaches SURGE, the fullest sets the limit.
+    Where no window reaches SURGE, the fullest sets the limit.  On pages without
+    such an element, short lines beside a stretch belong to it.
     """
-    page = lines(html)
+    found = lines(html)
+    page, border = [], set()
+    for line in found:
+        if line[0]:
+            page.append(line)
+        else:
+            border.add(len(page))
     marked = any(inside for _, _, inside in page)
     length = [(len(text) if inside else 0) if marked else outside for text, outside, inside in page]
     window = [sum(length[k : k + WINDOW]) for k in range(len(length))]
     limit = min(1 if marked else SURGE, max(window, default=0))
-    kept, on = [], False
-    for (text, _, inside), own, total in zip(page, length, window):
+    kept, on = [False] * len(page), False
+    for k, (own, total) in enumerate(zip(length, window)):
         on = total > 0 if on else limit > 0 and total >= limit and own > 0
-        if on and (own or not marked):
-            kept.append(text)
-    return " ".join(kept)
+        kept[k] = on and (own > 0 or not marked)
+    if not marked:
+        _extend(kept, length, border, range(len(page)), 0)
+        _extend(kept, length, border, range(len(page) - 1, -1, -1), 1)
+    return " ".join(text for (text, _, _), keep in zip(page, kept) if keep)
+
+
+def _extend(kept: list[bool], length: list[int], border: set[int], order: range, before: int) -> None:
+    """Keep lines with text outside links that follow kept ones in ``order``, up to furniture or more than WINDOW lines of links."""
+    near, links = False, 0
+    for k in order:
+        if k + before in border:
+            near = False
+        if kept[k]:
+            near, links = True, 0
+        elif length[k]:
+            kept[k], links = near, 0
+        else:
+            links += 1
+            near = near and links <= WINDOW
 
 
 def page_texts(pages: DataFrame) -> DataFrame:

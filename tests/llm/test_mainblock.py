@@ -51,3 +51,16 @@ def test_awkward_rows(spark):
     assert out.columns == ["page_id", "url", "text", "n_chars"] and out.count() == len(rows)
     assert mainblock.page_texts(pages.limit(0)).count() == 0
     assert len(mainblock.main_text("<article>" + "<p>word word</p>" * 50_000 + "</article>")) == 50_000 * 10 - 1
+
+
+SHORT_LINES = {
+    "short lines before": (f"<nav>M</nav><h1>Headline</h1><p>By one</p><p>12 May</p><p>{LONG}</p><p>{LONG}</p><p>End.</p><footer>x</footer>", f"Headline By one 12 May {LONG.strip()} {LONG.strip()} End."),
+    "links before last": (f"<p>{LONG}</p><p>Some more text.</p><p><a href=x>Link only</a></p><p><a href=x>Link only</a></p><p><a href=x>Link only</a></p><p>The last paragraph.</p><div class=ad>Buy</div><p>Beyond furniture.</p>", f"{LONG.strip()} Some more text. The last paragraph."),
+    "few words": ("<p>One two three four.</p><p>Five six seven eight nine ten.</p><p>Eleven twelve thirteen fourteen fifteen.</p><p>Sixteen seventeen words.</p>", "One two three four. Five six seven eight nine ten. Eleven twelve thirteen fourteen fifteen. Sixteen seventeen words."),
+}
+
+
+@pytest.mark.parametrize("name", SHORT_LINES)
+def test_short_lines(name):
+    page, want = SHORT_LINES[name]
+    assert mainblock.main_text(page) == want
