@@ -31,6 +31,12 @@ BOILERPLATE = {
 }
 ARTICLE = {"article", "main"}
 
+#: Elements whose end tag may be left out, and the start tags that end them.
+ENDS = {
+    "p": BLOCKS - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
+    "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"},
+}
+
 _TAG = re.compile(
     r"<!--(?s:.*?)(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^>]*>|</?[a-zA-Z][^<>]*\Z"
 )
@@ -69,24 +75,52 @@ def _tags(html: str) -> list[tuple[int, int, str, str, bool]]:
     return found
 
 
-def _extent(tags: list, k: int) -> int:
-    """Index of the tag at which the element that tag ``k`` opens is over.
-
-    Paragraphs and list items may end where a block starts.  An element that
-    nothing closes goes on to the article, or to the end.
+def _follow(above: list[str], name: str, closes: bool) -> None:
+    """Bring the names of the open elements up to date after a tag."""
+    if not name or name in VOID:
+        return
+    if closes:
+        if name in above:
+            while above.pop() != name:
+                pass
+        return
+    for i in range(len(above) - 1, -1, -1):
+        if name in ENDS.get(above[i], ()):
+            del above[i:]
+        elif above[i] in BLOCKS and above[i] not in ("address", "div", "p"):
+            break
+    above.append(name)
+
+
+def _extent(tags: list, k: int, above: list[str], inside: bool) -> int:
+    """Index of the last tag of the element that tag ``k`` opens, in elements ``above``.
+
+    Where end tags may be left out, the start of a sibling ends it, and the end
+    of what it lies in ends any.  An element that nothing closes goes on to the
+    article, or to the end; inside the article, to the next block.
     """
-    name, depth, article = tags[k][2], 0, len(tags)
+    name, within, parents = tags[k][2], [], {n for n in above if n in BLOCKS or n in DROPPED}
+    article, end = len(tags), len(tags)
     for j in range(k, len(tags)):
         other, closes = tags[j][2], tags[j][4]
-        if other == name:
-            depth += -1 if closes else 1
-            if depth == 0:
+        if closes and other not in within and other in parents:
+            end = j
+            break
+        _follow(within, other, closes)
+        if j > k and (not within or other == within[0] and len(within) == 1 and not closes and other in ENDS.get(name, ())):
+            if closes and other == name and (article > j or sum(1 - 2 * t[4] for t in tags if t[2] == name) <= 0):
                 return j
-        elif name == "p" and other in BLOCKS and other != "br":
-            return j - 1
+            if not closes:
+                return j - 1
+            end = j
+            break
         if other in ARTICLE and not closes and j > k:
             article = min(article, j)
-    return article - 1
+        if j > k and within and within[0] != name:
+            return j - 1
+    if inside and name not in ENDS:
+        end = next((j for j in range(k + 1, min(end, len(tags))) if tags[j][2] in BLOCKS), end)
+    return min(article, end) - 1
 
 
 def lines(html: str) -> list[tuple[str, int, bool]]:
@@ -95,6 +129,7 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
     A line without text stands where furniture was.
     """
     tags, out = _tags(html), []
+    above: list[str] = []
     text: list[str] = []
     outside = links = inside = 0
 
@@ -117,7 +152,7 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         add(html[at:start])
         at = end
         if name and not closes and name not in VOID and _unwanted(name, attrs, inside > 0):
-            last = _extent(tags, k)
+            last = _extent(tags, k, above, inside > 0)
             if not any(t[2] in ARTICLE and not t[4] for t in tags[k + 1 : last + 1]):
                 over()
                 out.append(("", 0, False))
@@ -125,6 +160,7 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
                 at = tags[last][1] if whole and tags[last][4] and tags[last][2] == name else tags[last + 1][0] if last + 1 < len(tags) else len(html)
                 k = last + 1
                 continue
+        _follow(above, name, closes)
         if name in BLOCKS:
             over()
         if name == "a":

@@ -64,3 +64,19 @@ SHORT_LINES = {
 def test_short_lines(name):
     page, want = SHORT_LINES[name]
     assert mainblock.main_text(page) == want
+
+
+OPTIONAL_END_TAGS = {
+    "li": (f"<article><ul><li class=share>Share<li>One<li>Two</ul><p>{LONG}</article>", f"One Two {LONG.strip()}"),
+    "li nested": (f"<article><ul><li class=share>Share<ul><li>a<li>b</ul><li>One</ul><p>{LONG}</article>", f"One {LONG.strip()}"),
+    "td": (f"<article><table><tr><td class=ad>Buy<td>One<tr class=ad><td>x<td>y<tr><td>Two</table><p>{LONG}</article>", f"One Two {LONG.strip()}"),
+    "dd": (f"<article><dl><dt class=ad>Buy<dd>One<dt>T<dd class=ad>x<dt>U</dl><p>{LONG}</article>", f"One T U {LONG.strip()}"),
+    "last li": (f"<article><ul><li>One<li class=share>Share</ul><p>{LONG}</article>", f"One {LONG.strip()}"),
+    "open div": (f"<article><p>A.</p><div class=ad>Buy<p>{LONG}</p></article><p>x", f"A. {LONG.strip()}"),
+}
+
+
+@pytest.mark.parametrize("name", OPTIONAL_END_TAGS)
+def test_optional_end_tags(name):
+    page, want = OPTIONAL_END_TAGS[name]
+    assert mainblock.main_text(page) == want
