@@ -30,7 +30,6 @@ BOILERPLATE = {
     "complementary", "contentinfo", "alert",
 }
 ARTICLE = {"article", "main"}
-
 #: Elements whose end tag may be left out, and the start tags that end them.
 ENDS = {
     "p": BLOCKS - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
@@ -49,8 +48,10 @@ def _unwanted(name: str, attrs: str, inside: bool) -> bool:
     """Whether an element is furniture by its tag, or by a class, id or role.  A header inside the article belongs to it."""
     if name in DROPPED:
         return not (name == "header" and inside)
-    if not attrs or name in ARTICLE or name in ("html", "body"):
+    if not attrs or name in ("main", "html", "body"):
         return False
+    if name == "article":
+        return any(whole in BOILERPLATE or whole == "teaser" for _, *values in _NAMED.findall(attrs) for whole in "".join(values).lower().split())
     for kind, *values in _NAMED.findall(attrs):
         for whole in "".join(values).lower().split():
             parts = re.split(r"[^a-z0-9]+", whole)
@@ -153,7 +154,8 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         at = end
         if name and not closes and name not in VOID and _unwanted(name, attrs, inside > 0):
             last = _extent(tags, k, above, inside > 0)
-            if not any(t[2] in ARTICLE and not t[4] for t in tags[k + 1 : last + 1]):
+            held = {t[2] for t in tags[k + 1 : last + 1] if not t[4]}
+            if "main" not in held and not (name == "form" and "article" in held):  # what holds these is the page
                 over()
                 out.append(("", 0, False))
                 whole = last + 1 < len(tags) or tags[last][2] == name and tags[last][4]

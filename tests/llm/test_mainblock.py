@@ -80,3 +80,17 @@ OPTIONAL_END_TAGS = {
 def test_optional_end_tags(name):
     page, want = OPTIONAL_END_TAGS[name]
     assert mainblock.main_text(page) == want
+
+
+FURNITURE_WITH_ARTICLES = {
+    "comments": (f"<article><p>{LONG}</p></article><section id=comments><article class=comment><p>Nice one.</p></article></section><aside><article class=teaser><p>More.</p></article></aside><article class=comment><p>Bad.</p></article>", LONG.strip()),
+    "form page": (f"<form id=f><article><p>{LONG}</p></article></form>", LONG.strip()),
+    "open ad in wrap": (f"<div id=w><div class=ad>Buy<article><p>{LONG}</p></article></div>", LONG.strip()),
+    "p ad": (f"<article><p class=ad>Buy <b>now<p>{LONG}<div class=ad>x</div>end</article>", f"{LONG.strip()} end"),
+}
+
+
+@pytest.mark.parametrize("name", FURNITURE_WITH_ARTICLES)
+def test_furniture_with_articles(name):
+    page, want = FURNITURE_WITH_ARTICLES[name]
+    assert mainblock.main_text(page) == want
