@@ -64,8 +64,8 @@ def places(size: int, walk: int) -> list[int]:
     return sorted(draws.choice(steps, min(PLACES, steps), replace=False).tolist())
 
 
-def walk_keys(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """A key for each start and walk: the sampled places of the embedded window.
+def walk_keys(words: np.ndarray, starts: np.ndarray, size: int, stops: np.ndarray | None = None) -> np.ndarray:
+    """A key for each start and walk: the sampled places of the embedded window, which ends early at ``stops``.
 
     A walk reads a word, writes it, and stays or goes on to the next word as a
     random function of the step and the word says.  After an edit two walks
@@ -75,7 +75,7 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     for walk in range(WALKS):
         sampled = places(size, walk)
         bits = np.random.default_rng([size, walk, 1]).integers(0, 2**63, sampled[-1] + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        at, end = starts.copy(), starts + size
+        at, end = starts.copy(), starts + size if stops is None else np.minimum(starts + size, stops)
         key = np.full(len(starts), size * WALKS + walk, np.uint64)
         for step in range(sampled[-1] + 1):
             inside = at < end
@@ -132,8 +132,9 @@ def windows(docs: DataFrame, sizes: list[int], word_map: np.ndarray, pair_map: n
 
     An edit takes at most one word and two pairs of neighbouring words out of a
     passage.  So a window is embedded only if no more of them than that are
-    missing from the benchmark's; nothing is lost by it.  All texts of a batch
-    are gone through at once.
+    missing from the benchmark's; nothing is lost by it.  A window that the end
+    of its document cuts off counts what it lacks as missing.  All texts of a
+    batch are gone through at once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,9 +154,14 @@ def windows(docs: DataFrame, sizes: list[int], word_map: np.ndarray, pair_map: n
                 fit &= paired[size - 1 : size - 1 + n] - paired[:n] >= size - 1 - 2 * edits
                 starts = np.flatnonzero(fit)
                 starts = starts[starts + size <= ends[doc[starts]]]
+                cut = (ends[:, None] - np.arange(size - edits, size))[lengths[:, None] >= np.arange(size - edits, size)]
+                stop = ends[doc[cut]]
+                fit = known[stop] - known[cut] >= size - edits
+                fit &= paired[stop - 1] - paired[cut] >= size - 1 - 2 * edits
+                starts = np.concatenate([starts, cut[fit]])
                 for begin in range(0, len(starts), 1 << 18):
                     some = starts[begin : begin + (1 << 18)]
-                    keys = walk_keys(words, some, size)
+                    keys = walk_keys(words, some, size, ends[doc[some]])
                     hit = bit_of(keys, key_map)
                     rows = np.flatnonzero(hit.any(axis=1))
                     if not len(rows):

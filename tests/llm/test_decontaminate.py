@@ -98,3 +98,11 @@ def test_short_items_and_empty_tables(spark):
     assert pairs(d.leaks(docs, benchmark(spark, ["three", "one two"]))) == {(1, 0), (3, 0), (1, 1)}
     assert d.leaks(docs, benchmark(spark, [])).count() == 0
     assert d.leaks(docs.limit(0), benchmark(spark, ["three"])).count() == 0
+
+
+def test_passages_that_end_short_with_their_document(spark):
+    items = [prose(n, 800 + n) for n in (10, 12, 14, 16, 19, 22, 26, 31)]
+    cut = [" ".join(item.split()[:-1]) for item in items]
+    texts = cut + [f"{prose(30, 40 + k)} {text}" for k, text in enumerate(cut)] + [" ".join(i.split()[: len(i.split()) - d.allowed(len(i.split())) - 1]) for i in items]
+    found = {(r.doc_id, r.item_id): (r.start, r.edits) for r in d.leaks(documents(spark, texts), benchmark(spark, items)).collect()}
+    assert found == {(k, k): (0, 1) for k in range(8)} | {(8 + k, k): (30, 1) for k in range(8)}
