@@ -26,7 +26,7 @@ MALE, FEMALE = "Mr|Herr|Monsieur|Señor|Sr|Sig|Господин", "Mrs|Ms|Miss|F
 PERSON = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? \p{{Lu}}[\p{{Ll}}'’\-]+(?:\p{{Lu}}\p{{Ll}}+)?(?: \p{{Lu}}[\p{{Ll}}'’\-]+(?:\p{{Lu}}\p{{Ll}}+)?)?"
 ENTITY = "|".join((EMAIL, HEX, KEY, IPV6, IPV4, IBAN, CARD, SSN, PHONE, PERSON))
 #: What every entity holds: cheap to look for in a text that has none.
-HINT = rf"[0-9@]|{MALE}|{FEMALE}"
+HINT = rf"[0-9@]|AKIA|ASIA|gh[pousr]_|sk-|[a-fA-F]{{32}}|[a-fA-F]:[a-fA-F]|{MALE}|{FEMALE}"
 
 # Names by script and gender, and parts of surnames.
 GIVEN = {

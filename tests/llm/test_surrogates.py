@@ -83,3 +83,21 @@ def test_awkward_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = surrogates.replaced(documents(spark, TEXTS), "k")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+ALONE = {
+    "email": "name@corp.org",
+    "hex": "abcdefABCDEF" * 3,
+    "key AKIA": "AKIA" + "QWERTYUIOPASDFGH",
+    "key ASIA": "ASIA" + "QWERTYUIOPASDFGH",
+    "key gh": "gho_" + "qwertyuiop" * 3,
+    "key sk": "sk-" + "qwertyuiop" * 2,
+    "ipv6": "abcd:ef:a:b:c:dd:ee:ff",
+    "person": "Frau Berg",
+}
+
+
+def test_each_kind_alone_in_a_text_without_digits(spark):
+    texts, rows = replaced(spark, [f"so {e} it is" for e in ALONE.values()])
+    for (name, entity), text, row in zip(ALONE.items(), texts, rows):
+        assert entity not in text and row.n_entities == 1 and row.kinds == [name.split()[0]], name
