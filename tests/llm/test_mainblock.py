@@ -94,3 +94,9 @@ FURNITURE_WITH_ARTICLES = {
 def test_furniture_with_articles(name):
     page, want = FURNITURE_WITH_ARTICLES[name]
     assert mainblock.main_text(page) == want
+
+
+def test_windows_without_the_element_take_long_text_beside_a_short_article():
+    page = f"<article><p>Yes.</p></article><ul>{'<li><a href=x>Link</a></li>' * 9}</ul><p>{LONG}</p>"
+    assert mainblock.main_text(page) == "Yes."
+    assert mainblock.main_text(page.replace("article>", "div>")) == LONG.strip()
