@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalframe.llm import decontaminate, langid, mainblock, oddsketch, packing, quality, recipes, surrogates, token_counts, toxicity
+from signalframe.llm import decontaminate, divergence, langid, mainblock, oddsketch, packing, quality, recipes, surrogates, token_counts, toxicity
 from signalframe.llm.common import read
 
 
@@ -64,14 +64,70 @@ def op10_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oddsketch.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), words=3, per_cent=85)
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = divergence.quality_rules(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return found.drop("class_distance", "word_distance")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_cumulative_links, op2_weak_quality, op3_line_blocks, op4_surrogates, op5_trie_unigram, op6_random_walks, op7_chunk_recipes,
-        op8_word_backoff, op9_variable_bins, op10_odd_sketches,
+        op8_word_backoff, op9_variable_bins, op10_odd_sketches, op13_divergence,
     )
 }
 
+def _judged(of: str) -> str:
+    """DuckDB: the rows of ``base`` judged by the references of the rows ``of`` a table, as in ``divergence``."""
+    d = divergence
+    part = "CASE WHEN {p} > 0 THEN {p} * log2({p} / (({p} + {q}) / 2)) ELSE 0 END + CASE WHEN {q} > 0 THEN {q} * log2({q} / (({p} + {q}) / 2)) ELSE 0 END"
+    classes = " + ".join(part.format(p=f"(b.c[{i}] / greatest(list_sum(b.c), 1))", q=f"(s.c[{i}] / greatest(list_sum(s.c), 1))") for i in range(1, d.N_CLASSES + 1))
+    sums = ", ".join(f"sum(c[{i}])" for i in range(1, d.N_CLASSES + 1))
+    return rf"""
+s AS (SELECT lang, sum(pn) AS pn, [{sums}] AS c FROM {of} WHERE lang IS NOT NULL GROUP BY lang HAVING sum(pn) >= {d.REFERENCE_WORDS}),
+k AS (SELECT lang, word, n FROM (SELECT lang, word, sum(h.n) AS n, row_number() OVER (PARTITION BY lang ORDER BY sum(h.n) DESC, word) AS i
+  FROM {of} JOIN h USING (r) WHERE length(word) <= {d.LONGEST_COMMON} GROUP BY lang, word) WHERE i <= {d.COMMON}),
+q AS (SELECT k.lang, k.word, k.n / s.pn AS q FROM k JOIN s USING (lang)),
+o AS (SELECT s.lang, coalesce(sum(q), 0) AS q FROM s LEFT JOIN q USING (lang) GROUP BY s.lang),
+spoken AS (SELECT DISTINCT r FROM h JOIN q USING (word)),
+f AS (SELECT b.r, q.lang, sum(coalesce(h.n, 0) / greatest(b.pn, 1)) AS p,
+  sum({part.format(p="(coalesce(h.n, 0) / greatest(b.pn, 1))", q="q.q")}) AS d
+  FROM base b CROSS JOIN q LEFT JOIN h ON h.r = b.r AND h.word = q.word GROUP BY b.r, q.lang),
+x AS (SELECT b.r, min(sqrt(greatest(({classes}) / 2, 0))) AS cd,
+  min(CASE WHEN f.lang IS NULL THEN 0 ELSE sqrt(greatest((f.d + {part.format(p="(1 - f.p)", q="greatest(0, 1 - o.q)")}) / 2, 0)) END) AS wd
+  FROM base b CROSS JOIN s JOIN o ON o.lang = s.lang LEFT JOIN f ON f.r = b.r AND f.lang = s.lang GROUP BY b.r),
+judged AS (SELECT b.*, NOT base_failed AND NOT (
+    (b.lang IS NULL OR b.lang IN (SELECT lang FROM s)) AND (
+      coalesce(word_chars >= {d.LEAST_CHARS} AND cd > {d.CLASS_LIMIT}, false)
+      OR coalesce(pn >= {d.LEAST_WORDS} AND b.r IN (SELECT r FROM spoken) AND wd > {d.WORD_LIMIT} + {d.WORD_NOISE} / sqrt(greatest(pn, 1)), false))) AS kept
+  FROM base b LEFT JOIN x USING (r))"""
+
+
 LLM_ORACLES = {
+    "op13_divergence": rf"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
+u AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+  list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}\p{{M}}]+'), lambda x: x <> '') AS pw,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+  regexp_replace(t, '[\p{{L}}\p{{M}}\x20\x09-\x0D]+', '', 'g') AS odd,
+  length(regexp_replace(t, '[^\p{{Lu}}\p{{Lt}}]+', '', 'g')) AS upper FROM t),
+g AS (SELECT r, i, w[i:i + 4] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM u)),
+a AS (SELECT DISTINCT r, i + j AS at FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g), range(5) s(j) WHERE n > 1),
+n AS (SELECT r, count(*) AS n FROM a GROUP BY r),
+v AS (SELECT r, doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+  coalesce(n.n, 0)::BIGINT AS n_repeat_words, len(pw) AS pn, pw, upper, length(odd) AS odd,
+  length(regexp_replace(odd, '[^\p{{N}}]+', '', 'g')) AS digit,
+  length(regexp_replace(regexp_replace(odd, '[#%&*@/\\_]', '', 'g'), '[^\p{{P}}]+', '', 'g')) AS mark FROM u LEFT JOIN n USING (r)),
+base AS (SELECT r, doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, pn,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  [upper, word_chars - upper - odd, digit, mark, odd - digit - mark] AS c FROM v),
+h AS (SELECT r, word, count(*) AS n FROM (SELECT r, unnest(pw) AS word FROM v) GROUP BY r, word),
+first AS (WITH {_judged("base")} SELECT * FROM judged),
+ok AS (SELECT lang FROM first WHERE kept GROUP BY lang HAVING lang IS NOT NULL AND sum(pn) >= {divergence.REFERENCE_WORDS}),
+again AS (SELECT * FROM first WHERE kept AND lang IN (SELECT lang FROM ok) OR lang NOT IN (SELECT lang FROM ok)),
+last AS (WITH {_judged("again")} SELECT * FROM judged)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM last
+""",
     "op7_chunk_recipes": r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
 g AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM t)
