@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalframe.llm import decontaminate, divergence, langid, mainblock, oddsketch, packing, quality, recipes, surrogates, token_counts, toxicity
+from signalframe.llm import decontaminate, divergence, langid, mainblock, negatives, oddsketch, packing, quality, recipes, surrogates, token_counts, toxicity
 from signalframe.llm.common import read
 
 
@@ -64,6 +64,10 @@ def op10_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oddsketch.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), words=3, per_cent=85)
 
 
+def op11_subset_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.prepared(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = divergence.quality_rules(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
     return found.drop("class_distance", "word_distance")
@@ -72,7 +76,7 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_cumulative_links, op2_weak_quality, op3_line_blocks, op4_surrogates, op5_trie_unigram, op6_random_walks, op7_chunk_recipes,
-        op8_word_backoff, op9_variable_bins, op10_odd_sketches, op13_divergence,
+        op8_word_backoff, op9_variable_bins, op10_odd_sketches, op11_subset_tables, op13_divergence,
     )
 }
 
@@ -103,6 +107,19 @@ judged AS (SELECT b.*, NOT base_failed AND NOT (
 
 
 LLM_ORACLES = {
+    "op11_subset_tables": """
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id AS id, a.label = b.label AS same,
+    list_sum(list_transform(list_zip(a.v, b.v), lambda z: coalesce(z[1] * z[2], 0)))::BIGINT AS score
+  FROM e a JOIN e b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, id, br) AS i FROM s WHERE same) WHERE i <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, p.score AS positive_score, s.id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.ar, p.i ORDER BY s.score DESC, s.id, s.br) AS rank
+  FROM p JOIN s ON s.ar = p.ar AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+""",
     "op13_divergence": rf"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
 u AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
