@@ -16,6 +16,7 @@ from signalframe import config
 from signalframe.functions import clock
 from signalframe.operators.articles import numeric_columns
 from signalframe.plans.ordered import nearest_values, number_rows, trailing_windows
+from signalframe.plans.running import number_by_range
 
 ROW = "_row"
 
@@ -174,17 +175,25 @@ def mean_fill(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
 def tail_validation(df: DataFrame, time: str, fraction: float = config.VALIDATION_FRACTION,
                     name: str = "part") -> DataFrame:
-    """Mark the last int(fraction * n) rows in time order as validation, the rest as fit."""
-    total = df.where(F.col(time).isNotNull()).agg(F.count("*").alias("n"))
-    numbered = number_rows(df, time, name=ROW).withColumn("_n", total.scalar())
+    """Mark the last int(fraction * n) rows in time order as validation, the rest as fit.
+
+    Works at any grain: rows are numbered over range partitions, so a day, or
+    a time, with many rows is spread over tasks.  Rows without a time are
+    dropped; rows of one time are cut in the order of the input, so hand in a
+    stored table.  Runs a job.
+    """
+    timed = df.where(F.col(time).isNotNull())
+    total = timed.agg(F.count("*").alias("n"))
+    numbered = number_by_range(timed, [time], name=ROW).withColumn("_n", total.scalar())
     held = F.floor(F.col("_n") * F.lit(fraction))
     mark = F.when(F.col(ROW) >= F.col("_n") - held, "validation").otherwise("fit")
     return numbered.withColumn(name, mark).drop(ROW, "_n")
 
 
 def thin_rows(df: DataFrame, time: str = "time_bucket", step: int = config.THIN_STEP) -> DataFrame:
-    """Every ``step``-th row in time order."""
-    return number_rows(df, time, name=ROW).where(F.col(ROW) % step == 0).drop(ROW)
+    """Every ``step``-th row in time order, at any grain, as in ``tail_validation``.  Runs a job."""
+    numbered = number_by_range(df.where(F.col(time).isNotNull()), [time], name=ROW)
+    return numbered.where(F.col(ROW) % step == 0).drop(ROW)
 
 
 def time_sort(df: DataFrame, *columns: str) -> DataFrame:
