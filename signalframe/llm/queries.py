@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalframe.llm import decontaminate, divergence, langid, mainblock, negatives, oddsketch, packing, quality, recipes, surrogates, token_counts, toxicity
+from signalframe.llm import decontaminate, divergence, langid, mainblock, negatives, oddsketch, packing, prefix_trie, quality, recipes, surrogates, token_counts, toxicity
 from signalframe.llm.common import read
 
 
@@ -68,6 +68,10 @@ def op11_subset_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(negatives.prepared(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")))
 
 
+def op12_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = divergence.quality_rules(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
     return found.drop("class_distance", "word_distance")
@@ -76,7 +80,8 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_cumulative_links, op2_weak_quality, op3_line_blocks, op4_surrogates, op5_trie_unigram, op6_random_walks, op7_chunk_recipes,
-        op8_word_backoff, op9_variable_bins, op10_odd_sketches, op11_subset_tables, op13_divergence,
+        op8_word_backoff, op9_variable_bins, op10_odd_sketches, op11_subset_tables, op12_burst_trie,
+        op13_divergence,
     )
 }
 
@@ -119,6 +124,23 @@ n AS (SELECT p.anchor_id, p.id AS positive_id, p.score AS positive_score, s.id A
     row_number() OVER (PARTITION BY p.ar, p.i ORDER BY s.score DESC, s.id, s.br) AS rank
   FROM p JOIN s ON s.ar = p.ar AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
 SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+""",
+    "op12_burst_trie": """
+WITH o AS (SELECT conv_id AS c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT c, t, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda s, i: xor(s >> 1, 3988292384 * (s & 1)))), 4294967295) % 9 AS h FROM o),
+r AS (SELECT h.c, coalesce(p.t[1:h.h], []) || h.t[h.h + 1:] AS t FROM h LEFT JOIN o p ON p.c = h.c - h.c % 5),
+m AS (SELECT c, t[1:d] AS p, d, len(t) AS n, t FROM (SELECT c, t, unnest(range(0, len(t) + 1)) AS d FROM r)),
+v AS (SELECT p, d, min(c) AS c, count(*) AS n, (count(*) - 1) * strlen(coalesce(p[d].text, '')) AS w,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS e FROM m GROUP BY p, d),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS k FROM v WHERE d > 0 GROUP BY ALL),
+u AS (SELECT v.*, coalesce(k.k, 0) AS k FROM v LEFT JOIN k USING (p)),
+s AS (SELECT p[1:a] AS p, sum((k = 0)::INT) AS leaves, sum(w) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM u) GROUP BY ALL)
+SELECT u.c AS conv_id, u.d AS depth, q.c AS parent_conv_id, u.n AS n_convs, u.k AS n_children, s.leaves::BIGINT AS n_leaves,
+  s.saved::BIGINT AS saved_tokens, u.e AS ends_sha256
+FROM u JOIN s USING (p) LEFT JOIN v q ON u.d > 0 AND q.p = u.p[1:u.d - 1]
 """,
     "op13_divergence": rf"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
