@@ -92,6 +92,21 @@ def partial_rollup(
     return df.withColumn("time_bucket", interval_start(time, width)).groupBy(*keys, "time_bucket").agg(*aggs)
 
 
+def add_partials(partials: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Partials again, of at most two for each interval: those stored and those to add."""
+    aggs = [F.sum("rows").alias("rows")]
+    for c in columns:
+        n, mean = F.col(f"{c}_n"), F.try_divide(F.col(f"{c}_sum"), F.col(f"{c}_n"))
+        # with two parts: half of (n1 + n2)^2 - n1^2 - n2^2 is n1 * n2
+        product = (F.sum(n) * F.sum(n) - F.sum(n * n)) / 2
+        apart = F.max(mean) - F.min(mean)
+        aggs += [
+            F.sum(n).alias(f"{c}_n"), F.sum(f"{c}_sum").alias(f"{c}_sum"), F.min(f"{c}_min").alias(f"{c}_min"), F.max(f"{c}_max").alias(f"{c}_max"),
+            (F.sum(f"{c}_m2") + F.coalesce(apart * apart * F.try_divide(product, F.sum(n)), F.lit(0.0))).alias(f"{c}_m2"),
+        ]
+    return partials.groupBy(*keys, "time_bucket").agg(*aggs)
+
+
 def merge_partials(
     partials: DataFrame, columns: Sequence[str], width: str | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:

@@ -7,6 +7,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from signalframe import config
 from signalframe.functions.text import null_if_missing
 from signalframe.operators.prepare import split_metadata
+from signalframe.sources import commits
 
 #: Lines that one call of the unpacking step passes on at once.
 LINES = 10_000
@@ -106,9 +108,13 @@ def union_batches(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", format: str = "parquet",
-                partition_by: Sequence[str] = ()) -> None:
+                partition_by: Sequence[str] = (), token: str | None = None) -> None:
     """Write or append a table as parquet, CSV with header, or JSON.
 
+    An append with a ``token`` is safe to repeat: parquet rows go to a folder of
+    their own, and one commit record for each token makes them part of the
+    table, which ``commits.read_committed`` reads.
+
     Mode ``replace`` puts the rows in place of the partitions that they belong
     to and leaves the others alone.
 
@@ -116,6 +122,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", format: str =
     columns: few files per partition, and a partition that holds much of the
     table is spread over several tasks.
     """
+    if token is not None:
+        if mode != "append" or format != "parquet":
+            raise ValueError("a token belongs to an append of parquet")
+        commits.append_once(df, path, token, partition_by)
+        return
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite" if mode == "replace" else mode).format(format)
@@ -133,33 +144,49 @@ def write_split_tables(split: DataFrame, path: str, strategy: str, run: str, tim
                        scalers: DataFrame | None = None) -> None:
     """Store one split run under its strategy and run label: rows, what went where, and the scaler table.
 
-    Storing the same label again replaces it.  ``scalers`` is the table of
-    ``fit_scalers`` that the rows were scaled with.
+    Readers see the run, whole, once its commit record is in place: it is
+    written last and names the three tables.  Storing the same label again
+    replaces it in the same way.  ``scalers`` is the table of ``fit_scalers``
+    that the rows were scaled with.
     """
+    spark = split.sparkSession
     tables = {"rows": split, "metadata": split_metadata(split, time, strategy)}
     if scalers is not None:
         tables["scalers"] = scalers
+    whole, folders = commits.new_folder(path), {}
     for name, table in tables.items():
-        labels = ["strategy", "run", *(["part"] if name == "rows" else [])]
-        labelled = table.withColumns({"strategy": F.lit(strategy), "run": F.lit(run)})
-        write_table(labelled, f"{path}/{name}", "replace", partition_by=labels)
+        folders[name] = f"{whole}/table={name}/strategy={quote(strategy)}/run={quote(run)}"
+        write_table(table, folders[name], partition_by=["part"] if name == "rows" else [])
+    commits.record(spark, path, f"{strategy}/{run}", folders, strategy=strategy, run=run)
+
+
+def split_runs(spark: SparkSession, path: str) -> list[dict]:
+    """The stored runs: facts (strategy, run) and folders of their tables."""
+    return list(commits.recorded(spark, path).values())
 
 
-def read_split_tables(spark: SparkSession, path: str, name: str = "rows") -> DataFrame:
-    """All stored split runs (or their ``metadata`` or ``scalers``); the labels are text."""
-    stored = f"{path}/{name}"
+def read_split_tables(spark: SparkSession, path: str, name: str = "rows", runs: Sequence[dict] | None = None) -> DataFrame:
+    """All stored split runs, or the given ones (or their ``metadata`` or ``scalers``); the labels are text."""
+    folders = [r["folders"][name] for r in (split_runs(spark, path) if runs is None else runs) if name in r["folders"]]
+    if not folders:
+        raise ValueError(f"no run with {name} is stored in {path}")
     labels = ["strategy", "run", *(["part"] if name == "rows" else [])]
-    fields = [f for f in spark.read.parquet(stored).schema if f.name not in labels]
-    schema = T.StructType([*fields, *[T.StructField(c, T.StringType()) for c in labels]])
-    return spark.read.schema(schema).parquet(stored)
+    found = commits.read_folders(spark, path, folders)
+    fields = [f for f in found.schema if f.name not in (*labels, "table")]
+    schema = T.StructType([*fields, *[T.StructField(c, T.StringType()) for c in (commits.WRITE, "table", *labels)]])
+    read = spark.read.schema(schema).option("basePath", f"{path.rstrip('/')}/{commits.DATA}").parquet(*folders)
+    return read.drop(commits.WRITE, "table")
 
 
 def latest_run(spark: SparkSession, path: str, name: str = "rows") -> DataFrame:
     """Rows of the newest run of each strategy, newest by label order.
 
-    The labels, a pair for each strategy, are read from the small metadata table
-    and become partition filters: other runs are not touched.
+    Which run that is stands in the commit records; files of other runs are
+    not looked at.
     """
-    newest = read_split_tables(spark, path, "metadata").groupBy("strategy").agg(F.max("run").alias("run")).collect()
-    wanted = [(F.col("strategy") == r["strategy"]) & (F.col("run") == r["run"]) for r in newest]
-    return read_split_tables(spark, path, name).where(reduce(lambda a, b: a | b, wanted, F.lit(False)))
+    newest: dict[str, dict] = {}
+    for r in split_runs(spark, path):
+        strategy = r["facts"]["strategy"]
+        if strategy not in newest or r["facts"]["run"] > newest[strategy]["facts"]["run"]:
+            newest[strategy] = r
+    return read_split_tables(spark, path, name, list(newest.values()))

@@ -1,8 +1,9 @@
 """Readers, writers, file bookkeeping and streams."""
 
 import gzip
+import statistics
 import zipfile
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from signalframe.catalog import fixtures as fx
 from signalframe.catalog.queries import follow
 from signalframe.operators.articles import enrich_articles
 from signalframe.plans.staging import shared_folder, stage
-from signalframe.sources import files, manifest
+from signalframe.sources import commits, files, manifest
 from signalframe.streaming import intervals, records
 
 
@@ -104,11 +105,40 @@ def test_latest_run(spark, tmp_path):
     files.write_split_tables(split.withColumn("v", F.lit(7)), str(tmp_path), "fully_random", "20230101_000000", "t")
     files.write_split_tables(split.withColumn("v", F.lit(7)), str(tmp_path), "fully_random", "20230101_000000", "t")  # replaces itself
     got = files.latest_run(spark, str(tmp_path))
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(((strategy" in plan and got.count() == 4
+    assert got.count() == 4 and all("run=20240101" not in f for f in got.inputFiles())
     assert {(r.strategy, r.run, r.v) for r in got.collect()} == {("month_based", "20240301_000000", 20240301), ("fully_random", "20230101_000000", 7)}
-    meta = spark.read.parquet(f"{tmp_path}/metadata").where("strategy = 'month_based'")
-    assert meta.agg(F.sum("rows")).first()[0] == 4
+    meta = files.read_split_tables(spark, str(tmp_path), "metadata")
+    assert meta.agg(F.sum("rows")).first()[0] == 6
+    assert {f.name for f in got.schema if f.dataType.simpleString() == "string"} == {"strategy", "run", "part"}
+    with pytest.raises(ValueError):
+        files.latest_run(spark, str(tmp_path), "scalers")
+
+
+def test_a_half_written_run_is_not_seen(spark, tmp_path, monkeypatch):
+    split = spark.createDataFrame([(datetime(2024, 1, 1), 1.0, "train"), (datetime(2024, 2, 1), 2.0, "test")], "t timestamp_ntz, v double, part string")
+    scalers = spark.createDataFrame([("v", 1.0)], "name string, mean double")
+    store = lambda run, v: files.write_split_tables(split.withColumn("v", F.lit(v)), str(tmp_path), "s", run, "t", scalers.withColumn("mean", F.lit(v)))
+    seen = lambda: {(name, r.run, r[c]) for name, c in (("rows", "v"), ("scalers", "mean")) for r in files.latest_run(spark, str(tmp_path), name).collect()}
+    store("run1", 1)
+    before, whole = seen(), files.write_table
+    for written in range(4):  # dies before, between and after the tables, but before the record
+        count = []
+
+        def dies(*args, **more):
+            if len(count) == written:
+                raise OSError("gone")
+            count.append(whole(*args, **more))
+
+        monkeypatch.setattr(files, "write_table", dies)
+        monkeypatch.setattr(files.commits, "record", dies)
+        for run in ("run1", "run2"):  # a new run, and one to replace the former
+            count.clear()
+            with pytest.raises(OSError):
+                store(run, 9)
+        monkeypatch.undo()
+        assert seen() == before
+    store("run2", 2)
+    assert seen() == {("rows", "run2", 2), ("scalers", "run2", 2)}
 
 
 def test_stage_uses_the_shared_folder(spark):
@@ -165,3 +195,57 @@ def test_stream_folds_every_row_whatever_the_order(spark, sf_dir, tmp_path):
     assert now() == want
     intervals.store_partials(events.where(parts[0]), 0, store, "ts", ["value"])  # a replayed batch
     assert now() == want
+
+
+def test_a_batch_reads_only_its_own_days(spark, tmp_path):
+    """Fifty batches, each with rows of its own day, of the day before and, every tenth, of the first day."""
+    store, want = str(tmp_path / "out"), {}
+    for k in range(50):
+        days = [k, max(0, k - 1), *([0] if k % 10 == 0 else [])]
+        cells = [(datetime(2024, 1, 1) + timedelta(days=d, minutes=7 * j), float(j * k + 1e6), f"k{j % 2}") for d in days for j in range(3)]
+        read = intervals.store_partials(spark.createDataFrame(cells, "t timestamp_ntz, v double, k string").coalesce(1), k, store, "t", ["v"], keys=["k"], stream="s", period=intervals.DAYS)
+        assert read <= 2, k
+        for t, v, key in cells:
+            want.setdefault((t.replace(minute=t.minute // 15 * 15), key), []).append(v)
+    got = {(r.time_bucket, r.k): r for r in intervals.read_partials(spark, store, ["v"], keys=["k"]).collect()}
+    assert got.keys() == want.keys()
+    for at, values in want.items():
+        assert got[at].article_count == len(values) and got[at].v_sum == pytest.approx(sum(values)) and got[at].v_max == max(values)
+        assert (got[at].v_std or 0.0) == pytest.approx(statistics.stdev(values) if len(values) > 1 else 0.0)
+    assert len(commits.recorded(spark, store)) == 50
+    assert commits.sweep(spark, store, hours=0) > 0
+    assert {(r.time_bucket, r.k) for r in intervals.read_partials(spark, store, ["v"], keys=["k"]).collect()} == want.keys()
+
+
+def test_a_batch_that_died_between_days_is_completed(spark, tmp_path, monkeypatch):
+    store, put = str(tmp_path / "out"), commits.record
+    rows = lambda v: spark.createDataFrame([(datetime(2024, 1, d), v) for d in (1, 2, 3)] + [(None, v)], "t timestamp_ntz, v double")  # rows without a time are left out
+    sums = lambda: sorted(r.v_sum for r in intervals.read_partials(spark, store, ["v"]).collect())
+    intervals.store_partials(rows(1.0), 0, store, "t", ["v"], stream="s", period=intervals.DAYS)
+    done = []
+
+    def dies(*args, **facts):
+        if len(done) == 2:
+            raise OSError("gone")
+        done.append(put(*args, **facts))
+
+    monkeypatch.setattr(commits, "record", dies)
+    with pytest.raises(OSError):
+        intervals.store_partials(rows(10.0), 1, store, "t", ["v"], stream="s", period=intervals.DAYS)
+    monkeypatch.setattr(commits, "record", put)
+    assert sums() == [1.0, 11.0, 11.0]
+    for _ in range(2):
+        intervals.store_partials(rows(10.0), 1, store, "t", ["v"], stream="s", period=intervals.DAYS)
+        assert sums() == [11.0] * 3
+    intervals.store_partials(rows(100.0), 0, store, "t", ["v"], stream="another", period=intervals.DAYS)  # a stream of its own begins at 0
+    assert sums() == [111.0] * 3
+
+
+def test_a_repeated_append_adds_nothing(spark, tmp_path):
+    table, rows = str(tmp_path / "t"), spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
+    assert commits.append_once(rows, table, "2024/01", ["p"]) and not commits.append_once(rows, table, "2024/01", ["p"])
+    rows.write.parquet(commits.new_folder(table))  # a job that died before its record
+    assert commits.append_once(rows, table, "2024/02", ["p"])
+    files.write_table(rows, table, "append", partition_by=["p"], token="2024/02")
+    assert commits.read_committed(spark, table).count() == 4
+    assert commits.sweep(spark, table, hours=0) == 1 and commits.read_committed(spark, table).count() == 4
