@@ -10,7 +10,8 @@ import zipfile
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +22,7 @@ from signalframe.operators import articles, buckets, correlate, forecast, joins,
 from signalframe.plans import flows
 from signalframe.plans.ordered import number_rows, trailing_windows
 from signalframe.plans.staging import new_folder, spread, stage
-from signalframe.sources import files, manifest
+from signalframe.sources import archives, files, manifest
 from signalframe.streaming import intervals, records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,12 +97,21 @@ def raw_lines(rows: DataFrame, *more) -> DataFrame:
     return fx.raw_records(rows, *more).select(F.concat_ws("\t", *cells).alias("value"), *[F.col("name")] * len(more))
 
 
-def zipped(lines: pd.DataFrame) -> pd.DataFrame:
-    """The lines of one interval as the archive that the source publishes for it."""
-    name, buffer = f"{lines['name'].iloc[0]}.gkg.csv", io.BytesIO()
-    with zipfile.ZipFile(buffer, "w") as archive:
-        archive.writestr(name, "\n".join(lines["value"]) + "\n")
-    return pd.DataFrame({"path": [f"archive/{name}.zip"], "content": [buffer.getvalue()]})
+def write_archives(rows: DataFrame, stamp: Column, folder: str) -> None:
+    """Articles as the zip files that the source publishes: one for each ``stamp``, written where the rows are."""
+    lines = raw_lines(rows, stamp.alias("name"))
+
+    def write(group: pd.DataFrame) -> pd.DataFrame:
+        store, where = fs.FileSystem.from_uri(folder)
+        name, buffer = f"{group['name'].iloc[0]}.gkg.csv", io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as archive:
+            archive.writestr(name, "\n".join(group["value"]) + "\n")
+        store.create_dir(where)
+        with store.open_output_stream(f"{where}/{name}.zip") as out:
+            out.write(buffer.getvalue())
+        return pd.DataFrame({"name": [name]})
+
+    lines.groupBy("name").applyInPandas(write, "name string").write.format("noop").mode("overwrite").save()
 
 
 @query
@@ -113,9 +123,10 @@ def scan_gkg_tsv(spark, sf_dir):
 
 @query
 def scan_gkg_zip(spark, sf_dir):
-    hour = F.concat(F.substring(ID, 1, 10), F.lit("0000"))  # an archive for each hour of arrival
-    lines = raw_lines(fx.articles_table(spark, sf_dir), hour.alias("name"))
-    return files.scan_archives(lines.groupBy("name").applyInPandas(zipped, "path string, content binary"))
+    folder = new_folder(spark, "zip")
+    quarter = F.lpad((F.pmod(F.xxhash64(ID), F.lit(4)) * 1500).cast("string"), 4, "0")  # four archives an hour of arrival
+    write_archives(fx.articles_table(spark, sf_dir), F.concat(F.substring(ID, 1, 10), quarter), folder)
+    return archives.scan_gkg_zip(spark, folder)
 
 
 @query
@@ -175,10 +186,11 @@ def resume_point(spark, sf_dir):
 @query
 def pending_files(spark, sf_dir):
     wanted = manifest.interval_manifest(manifest.table_bounds(fx.table(spark, sf_dir, "events"), "ts"))
+    folder, table = new_folder(spark, "zip"), new_folder(spark, "landed")
     located = articles.add_event_time(articles.location_filter(fx.articles_table(spark, sf_dir)))
-    start = clock.interval_start("datetime")
-    landed = located.select(F.concat(F.date_format(start, "yyyyMMddHHmmss"), F.lit(".gkg.csv.zip")).alias("file_name"))
-    return manifest.pending_files(wanted, landed)
+    write_archives(located, F.date_format(clock.interval_start("datetime"), "yyyyMMddHHmmss"), folder)
+    archives.land(spark, folder, table)
+    return manifest.pending_files(wanted, archives.read_ledger(spark, table))
 
 
 @query

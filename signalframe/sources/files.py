@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import quote
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,9 +15,6 @@ from signalframe.functions.text import null_if_missing
 from signalframe.operators.prepare import split_metadata
 from signalframe.sources import commits
 
-#: Lines that one call of the unpacking step passes on at once.
-LINES = 10_000
-
 
 def blank_to_null(df: DataFrame) -> DataFrame:
     """Text cells holding a "missing" token become NULL, in every string column."""
@@ -42,56 +35,12 @@ def records_of_lines(lines: DataFrame) -> DataFrame:
     return blank_to_null(rows.select(*[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(config.RAW_COLUMNS)]))
 
 
-def scan_gkg_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Headerless tab-separated records of 27 text columns (plain or gzip files, UTF-8)."""
-    return records_of_lines(spark.read.option("lineSep", "\n").text(path))
-
-
-def unpacked(path: str, content: bytes, suffix: str) -> tuple[bytes | None, str | None]:
-    """The zip member named like its archive, or why there is none."""
-    try:
-        return zipfile.ZipFile(io.BytesIO(content)).read(path.rsplit("/", 1)[-1].removesuffix(suffix)), None
-    except (zipfile.BadZipFile, zlib.error, KeyError) as error:
-        return None, f"{type(error).__name__}: {error}"
-
-
-def archives(spark: SparkSession, path: str, suffix: str = ".zip") -> DataFrame:
-    """(path, content) of the archives under a path."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(path).select("path", "content")
-
-
-def scan_archives(found: DataFrame, suffix: str = ".zip") -> DataFrame:
-    """Raw records of archives (path, content), unpacked in parallel; lines are read as in ``scan_gkg_tsv``."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                member, _ = unpacked(path, content, suffix)
-                lines = (member or b"").decode("utf-8", "replace").split("\n")
-                for start in range(0, len(lines), LINES):
-                    yield pd.DataFrame({"value": lines[start : start + LINES]})
-
-    return records_of_lines(found.select("path", "content").mapInPandas(run, "value string"))
-
-
-def scan_gkg_zip(spark: SparkSession, path: str, suffix: str = ".zip") -> DataFrame:
-    """Zipped raw files, one 15-minute member each.
-
-    An archive that lacks the member named like itself, or is no zip at all,
-    gives no record; ``skipped_archives`` lists these.
-    """
-    return scan_archives(archives(spark, path, suffix), suffix)
-
-
-def skipped_archives(found: DataFrame, suffix: str = ".zip") -> DataFrame:
-    """(path, reason) of the archives (path, content) that ``scan_archives`` takes nothing from."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            reasons = [unpacked(path, content, suffix)[1] for path, content in zip(batch["path"], batch["content"])]
-            yield pd.DataFrame({"path": batch["path"], "reason": reasons})
-
-    return found.select("path", "content").mapInPandas(run, "path string, reason string").where("reason is not null")
+def scan_gkg_tsv(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+    """Headerless tab-separated records of 27 text columns (plain or gzip files), in one of the encodings of ``decode``."""
+    lines = spark.read.options(lineSep="\n", encoding=encoding).text(path)
+    if encoding.upper() != "UTF-8":  # the reader finds the line ends and hands on the bytes between them
+        lines = lines.select(F.decode(F.col("value").cast("binary"), encoding).alias("value"))
+    return records_of_lines(lines)
 
 
 def scan_csv_table(spark: SparkSession, path: str | list[str], schema: T.StructType | str,

@@ -60,6 +60,12 @@ def file_names(df: DataFrame, name: str = "file_name") -> DataFrame:
 
 
 def pending_files(manifest: DataFrame, landed: DataFrame, column: str = "file_name") -> DataFrame:
-    """Manifest rows whose key md5(name) is not in the ledger of landed, non-empty files."""
+    """Manifest rows whose key md5(name) is not in the ledger of landed files.
+
+    A ledger with outcomes, as ``archives.read_ledger`` returns it, counts only
+    files that gave records: empty and skipped ones stay pending.
+    """
+    if "outcome" in landed.columns:
+        landed = landed.where("outcome = 'landed'")
     done = landed.select(F.md5(column).alias("file_key")).distinct()
     return manifest.withColumn("file_key", F.md5(column)).join(done, "file_key", "left_anti")

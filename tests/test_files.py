@@ -13,7 +13,7 @@ from signalframe.catalog import fixtures as fx
 from signalframe.catalog.queries import follow
 from signalframe.operators.articles import enrich_articles
 from signalframe.plans.staging import shared_folder, stage
-from signalframe.sources import commits, files, manifest
+from signalframe.sources import archives, commits, files, manifest
 from signalframe.streaming import intervals, records
 
 
@@ -29,18 +29,74 @@ def test_tsv_tokens_and_short_rows(spark, tmp_path):
     assert two.DATE == "20240101" and two.Extras is None
 
 
-def test_zip_members(spark, tmp_path):
+def zipped(folder, stamp, text, member=None, encoding="utf-8"):
+    with zipfile.ZipFile(folder / f"{stamp}.gkg.csv.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr(member or f"{stamp}.gkg.csv", text.encode(encoding))
+
+
+def test_records_and_outcomes_come_from_one_read(spark, tmp_path):
     good = "\r\n".join([line("1", AllNames="Łódź"), "", line("2", Quotations='"a ""b"" c"')]) + "\n"
-    with zipfile.ZipFile(tmp_path / "20240101000000.gkg.csv.zip", "w") as z:
-        z.writestr("20240101000000.gkg.csv", good)
-    with zipfile.ZipFile(tmp_path / "20240101001500.gkg.csv.zip", "w") as z:
-        z.writestr("other.csv", line("9") + "\n")
+    zipped(tmp_path, "20240101000000", good)
+    zipped(tmp_path, "20240101001500", line("9") + "\n", member="other.csv")
     (tmp_path / "20240101003000.gkg.csv.zip").write_bytes(b"not a zip")
-    got = files.scan_gkg_zip(spark, str(tmp_path)).orderBy("GKGRECORDID").collect()
+    zipped(tmp_path, "20240101004500", "\n")
+    zipped(tmp_path, "20240101010000", "\n".join(line(str(k), Persons="x" * 50) for k in range(2000)))
+    whole = (tmp_path / "20240101010000.gkg.csv.zip").read_bytes()
+    (tmp_path / "20240101010000.gkg.csv.zip").write_bytes(whole[:900] + b"\x00" * 40 + whole[940:])  # damaged in the middle
+    read = archives.read_archives(archives.archives(spark, str(tmp_path)))
+    got = archives.records_of(read).orderBy("GKGRECORDID").collect()
     assert [r.GKGRECORDID for r in got] == ["1", "2"]
     assert got[0].AllNames == "Łódź" and got[0].Persons is None and got[1].Quotations == '"a ""b"" c"'
-    skipped = files.skipped_archives(files.archives(spark, str(tmp_path))).collect()
-    assert sorted((r.path[-26:-8], r.reason.split(":")[0]) for r in skipped) == [("20240101001500.gkg", "KeyError"), ("20240101003000.gkg", "BadZipFile")]
+    outcomes = {r.file_name[:14]: (r.outcome, r.reason and r.reason.split(":")[0], r.records) for r in archives.outcomes_of(read).collect()}
+    assert outcomes.pop("20240101010000")[0] == "skipped"
+    assert outcomes == {"20240101000000": ("landed", None, 2), "20240101001500": ("skipped", "KeyError", 0),
+                        "20240101003000": ("skipped", "BadZipFile", 0), "20240101004500": ("empty", None, 0)}
+
+
+def test_a_range_of_days_opens_only_its_archives(spark, tmp_path):
+    for day in range(1, 6):
+        for hour in (0, 12):
+            zipped(tmp_path, f"202401{day:02d}{hour:02d}0000", line(f"{day}-{hour}"))
+    found = archives.archives(spark, str(tmp_path), first=date(2024, 1, 2), last=date(2024, 1, 3))
+    assert sorted(f.rsplit("/", 1)[-1][:10] for f in found.inputFiles()) == ["2024010200", "2024010212", "2024010300", "2024010312"]
+    assert archives.scan_gkg_zip(spark, str(tmp_path), first=date(2024, 1, 2), last=date(2024, 1, 3)).count() == 4
+    assert archives.scan_gkg_zip(spark, str(tmp_path), first=date(2025, 1, 2), last=date(2025, 1, 3)).count() == 0
+
+
+def test_landing_reads_each_archive_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    source, table = str(tmp_path / "in"), str(tmp_path / "out")
+    zipped(tmp_path / "in", "20240101000000", line("1"))
+    zipped(tmp_path / "in", "20240101001500", line("2"), member="wrong")
+    zipped(tmp_path / "in", "20240102000000", line("3"))
+    ids = lambda: sorted(r.GKGRECORDID for r in archives.read_landed(spark, table).collect())
+    ledger = lambda: {r.file_name[:14]: r.outcome for r in archives.read_ledger(spark, table).collect()}
+    assert ledger() == {}
+    put = commits.record
+    monkeypatch.setattr(commits, "record", lambda *a, **k: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        archives.land(spark, source, table)
+    monkeypatch.setattr(commits, "record", put)
+    assert ledger() == {}  # what died before its record is not there
+    day = dict(first=date(2024, 1, 1), last=date(2024, 1, 1))
+    assert archives.land(spark, source, table, **day) == 2 and ids() == ["1"]
+    assert ledger() == {"20240101000000": "landed", "20240101001500": "skipped"}
+    assert archives.land(spark, source, table, **day) == 0 and ids() == ["1"]
+    zipped(tmp_path / "in", "20240101001500", line("2"))  # the damaged archive is published again
+    assert archives.land(spark, source, table) == 2 and ids() == ["1", "2", "3"]
+    assert set(ledger().values()) == {"landed"} and archives.land(spark, source, table) == 0
+    wanted = manifest.interval_manifest(manifest.date_bounds(spark, "2024-01-01", "2024-01-02"))
+    assert manifest.pending_files(wanted, archives.read_ledger(spark, table)).count() == 2 * 96 - 3
+
+
+def test_encodings(spark, tmp_path):
+    text = line("1", AllNames="Łódź né")
+    (tmp_path / "a.csv").write_bytes(text.encode("utf-16-le"))
+    assert files.scan_gkg_tsv(spark, str(tmp_path / "a.csv"), encoding="UTF-16LE").first().AllNames == "Łódź né"
+    (tmp_path / "b.csv").write_bytes(line("1", AllNames="né").encode("latin-1"))
+    assert files.scan_gkg_tsv(spark, str(tmp_path / "b.csv"), encoding="ISO-8859-1").first().AllNames == "né"
+    zipped(tmp_path, "20240101000000", line("1", AllNames="né"), encoding="latin-1")
+    assert archives.scan_gkg_zip(spark, str(tmp_path), encoding="latin-1").first().AllNames == "né"
 
 
 def test_the_same_bytes_give_the_same_records_both_ways(spark, tmp_path):
@@ -51,7 +107,7 @@ def test_the_same_bytes_give_the_same_records_both_ways(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "20240101000000.gkg.csv.zip", "w") as z:
         z.writestr("20240101000000.gkg.csv", content)
     one = sorted(map(tuple, files.scan_gkg_tsv(spark, str(tmp_path / "tsv")).collect()), key=str)
-    two = sorted(map(tuple, files.scan_gkg_zip(spark, str(tmp_path)).collect()), key=str)
+    two = sorted(map(tuple, archives.scan_gkg_zip(spark, str(tmp_path)).collect()), key=str)
     assert one == two and [r[0] for r in one] == list("123456")
 
 
