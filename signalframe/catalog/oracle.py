@@ -296,6 +296,8 @@ oracle("latest_run", run_rows(runs[1:]))
 
 oracle("location_filter", f"SELECT {ID}, Locations, V2Locations FROM located")
 oracle("event_time", f"SELECT {ID}, DATE, datetime FROM art_dated")
+oracle("row_sample_half", f"""SELECT * FROM (SELECT l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR AS line, l_partkey FROM lineitem)
+ORDER BY md5('{config.SEED}-' || line), line LIMIT (SELECT count(*) // 2 FROM lineitem)""")
 oracle("row_sample", f"""(SELECT {ID}, DATE, 'first' AS kind FROM art ORDER BY {ID} LIMIT 500)
 UNION ALL (SELECT {ID}, DATE, 'random' AS kind FROM art ORDER BY md5('42-' || {ID}), {ID} LIMIT 500)""")
 oracle("record_themes", f"SELECT DISTINCT {ID}, theme FROM (SELECT {ID}, unnest({LOWER_THEMES}) AS theme FROM art)")
@@ -510,6 +512,10 @@ oracle("impute", f"SELECT {DAILY} FROM ({averaged('imputed_b', ['target', 'b', '
 oracle("sequence_windows", f"""SELECT a.ts AS ts, {r('a.target', 'target')}, CAST(24 - (a.pos - b.pos) AS INTEGER) AS step, {r('CAST(b.n AS DOUBLE)', 'n')}, {r('b.c', 'c')}
 FROM (SELECT *, row_number() OVER (ORDER BY ts) AS pos FROM daily) a
 JOIN (SELECT *, row_number() OVER (ORDER BY ts) AS pos FROM daily) b ON b.pos BETWEEN a.pos - 24 AND a.pos - 1 WHERE a.pos > 24""")
+GAPS = """(SELECT *, row_number() OVER (ORDER BY ts) AS pos, max(gap) OVER (ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS widest
+FROM (SELECT *, ts - lag(ts) OVER (ORDER BY ts) AS gap FROM by_month WHERE part = 'train'))"""
+oracle("sequence_windows_guarded", f"""SELECT a.ts AS ts, {r('a.target', 'target')}, CAST(24 - (a.pos - b.pos) AS INTEGER) AS step, {r('CAST(b.n AS DOUBLE)', 'n')}, {r('b.c', 'c')}
+FROM {GAPS} a JOIN {GAPS} b ON b.pos BETWEEN a.pos - 24 AND a.pos - 1 WHERE a.pos > 24 AND a.widest <= INTERVAL 1 DAY""")
 oracle("tail_validation", f"""SELECT ts, {rs('target')}, CASE WHEN pos > k - floor(0.2 * k) THEN 'validation' ELSE 'fit' END AS part
 FROM (SELECT *, row_number() OVER (ORDER BY ts) AS pos, count(*) OVER () AS k FROM by_month WHERE part = 'train')""")
 oracle("thin_rows", """SELECT time_bucket, article_count FROM (SELECT *, row_number() OVER (ORDER BY time_bucket) - 1 AS pos FROM news)

@@ -240,6 +240,14 @@ def row_sample(spark, sf_dir):
     return first.unionAll(articles.row_sample(rows, 500, ID, seed=config.SEED).withColumn("kind", F.lit("random")))
 
 
+@query
+def row_sample_half(spark, sf_dir):
+    """Half of a table, more than one task should put in order."""
+    rows = stage(fx.table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"), "l_partkey"))
+    return articles.row_sample(rows, rows.count() // 2, "line", seed=config.SEED)
+
+
 @query
 def record_themes(spark, sf_dir):
     rows = articles.add_themes(fx.articles_table(spark, sf_dir))
@@ -578,6 +586,14 @@ def sequence_windows(spark, sf_dir):
     return steps.select("ts", "target", "step", F.get("values", F.lit(0)).alias("n"), F.get("values", F.lit(1)).alias("c"))
 
 
+@query
+def sequence_windows_guarded(spark, sf_dir):
+    train = stage(daily_split(spark, sf_dir).where(F.col("part") == "train"))
+    rows = prepare.sequence_windows(train, "ts", ["n", "c"], "target", max_gap="1 day")
+    steps = rows.select("ts", "target", F.posexplode("sequence").alias("step", "values"))
+    return steps.select("ts", "target", "step", F.get("values", F.lit(0)).alias("n"), F.get("values", F.lit(1)).alias("c"))
+
+
 @query
 def tail_validation(spark, sf_dir):
     train = stage(daily_split(spark, sf_dir).where(F.col("part") == "train").drop("part"))

@@ -1,17 +1,21 @@
-"""Per-record work on the article table: one projection, no shuffle."""
+"""Per-record work on the article table: one projection, no shuffle (but for samples)."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalframe import config
 from signalframe.functions import clock, score, text
+from signalframe.plans.running import number_by_range
 
 TIME_NAMES = ("timestamp", "time_bucket", "datetime")
+#: Largest pick that a task folds, and the digits of a draw by which a larger one is counted.
+TOP_ROWS, DIGITS, _DRAW = 10_000, 4, "_draw"
 
 
 def numeric_columns(df: DataFrame, skip: Iterable[str] = ()) -> list[str]:
@@ -78,12 +82,35 @@ def row_sample(df: DataFrame, rows: int, key: str, seed: int | None = None) -> D
     """The first ``rows`` rows by key, or with a seed a repeatable random pick of that size.
 
     The order is a total one (hash, then key), so the pick does not depend on
-    partitioning or engine.
+    partitioning or engine; a null key comes first.  A pick of up to TOP_ROWS
+    is folded in each task.  A larger one is selected without a sort into one
+    task: draws are counted by their first digits, groups below the one with
+    the last place pass whole, and only that group is put in order.  Picks above
+    TOP_ROWS run jobs that read the table more than once, so hand in a stored
+    table.
     """
-    if seed is None:
-        return df.orderBy(key).limit(rows)
     draw = F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string")))
-    return df.orderBy(draw, key).limit(rows)
+    if rows <= TOP_ROWS:
+        return (df.orderBy(key) if seed is None else df.orderBy(draw, key)).limit(rows)
+    if seed is None:
+        return _first_by_range(df, [key], rows)
+    marked, parts = df.withColumn(_DRAW, F.coalesce(draw, F.lit(""))), []
+    for digits in (DIGITS, 2 * DIGITS):  # the group with the last place, then that within it
+        prefix = F.substring(_DRAW, 1, digits)
+        upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        # one row for each value of a few digits, whatever the table's size
+        counted = marked.groupBy(prefix.alias("part")).count().withColumn("upto", F.sum("count").over(upto))
+        last = counted.where(F.col("upto") >= rows).agg(F.min_by(F.struct("part", (F.col("upto") - F.col("count")).alias("before")), "part").alias("l")).first()["l"]
+        if last is None:
+            return df
+        parts.append(marked.where(prefix < last["part"]))
+        marked, rows = marked.where(prefix == last["part"]), rows - last["before"]
+    parts.append(_first_by_range(marked, [_DRAW, key], rows))
+    return reduce(DataFrame.unionAll, parts).select(df.columns)
+
+
+def _first_by_range(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
+    return number_by_range(df, order, name="_place").where(F.col("_place") < rows).drop("_place")
 
 
 def add_themes(df: DataFrame, source: str = "V2Themes", name: str = "themes") -> DataFrame:

@@ -51,9 +51,8 @@ def fit_trees(df: DataFrame, target: str, validation: str | None = None, trees:
 
     ``validation`` names a boolean column.  With it the number of trees is the
     one with the smallest error on those rows, looked for until ``patience``
-    trees brought no better one: the model grows in steps that double, and is
-    fitted again with the best length.  A seed draws the same trees again, so
-    this is the model cut to that length.
+    trees brought no better one: the model grows in steps that double, and the
+    last one is cut to the best length.
     """
     if not validation:
         return learner(target, trees, depth, rate, seed).fit(df)
@@ -65,10 +64,26 @@ def fit_trees(df: DataFrame, target: str, validation: str | None = None, trees:
         model = learner(target, length, depth, rate, seed).fit(fit)
         best, settled = best_length(model.evaluateEachIteration(held, "squared"), patience)
         if settled or length == trees:
-            return model if best == length else learner(target, best, depth, rate, seed).fit(fit)
+            return model if best == length else first_trees(model, best)
         length = min(trees, 2 * length)
 
 
+def first_trees(model: GBTRegressionModel, trees: int) -> GBTRegressionModel:
+    """The model of the first ``trees`` trees of a fitted one, with their weights; nothing is fitted.
+
+    Trees are grown one after the other, each on what the ones before leave, so
+    this is the model that a fit of that length gives.
+    """
+    spark, java = SparkSession.active(), model._java_obj
+    gateway, ml = spark.sparkContext._gateway, spark._jvm.org.apache.spark.ml.regression
+    kept = gateway.new_array(ml.DecisionTreeRegressionModel, trees)
+    weights = gateway.new_array(gateway.jvm.double, trees)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:trees], model.treeWeights)):
+        kept[i], weights[i] = tree, float(weight)
+    cut = GBTRegressionModel(ml.GBTRegressionModel(f"{model.uid}_first_{trees}", kept, weights, model.numFeatures))
+    return cut.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
 def save_model(model: GBTRegressionModel, path: str) -> None:
     """Store a fitted model in place of the one at that path."""
     model.write().overwrite().save(path)
@@ -96,20 +111,21 @@ def feature_importance(model: GBTRegressionModel, features: Sequence[str], spark
 
 
 def sequence_vectors(df: DataFrame, time: str, features: Sequence[str], target: str,
-                     rows: int = config.SEQUENCE_ROWS, keys: Sequence[str] = ()) -> DataFrame:
+                     rows: int = config.SEQUENCE_ROWS, keys: Sequence[str] = (), max_gap: str | None = None) -> DataFrame:
     """One flat vector of the preceding ``rows`` feature rows per row."""
-    return sequence_windows(df, time, features, target, rows, keys).withColumn(
+    return sequence_windows(df, time, features, target, rows, keys, max_gap).withColumn(
         VECTOR, array_to_vector(F.flatten("sequence"))).drop("sequence")
 
 
 def sequence_forecast(train: DataFrame, test: DataFrame, time: str, features: Sequence[str], target: str,
-                      rows: int = config.SEQUENCE_ROWS, **settings) -> DataFrame:
+                      rows: int = config.SEQUENCE_ROWS, max_gap: str | None = None, **settings) -> DataFrame:
     """(time, actual, predicted) of the next step from the preceding ``rows`` rows.
 
     The last fifth of the training sequences decides the number of trees.
+    ``max_gap`` leaves out sequences over holes, in training and in the result.
     """
-    sequences = stage(sequence_vectors(train, time, features, target, rows), "sequences")
+    sequences = stage(sequence_vectors(train, time, features, target, rows, max_gap=max_gap), "sequences")
     held = tail_validation(sequences, time, name="_role").withColumn("_held", F.col("_role") == "validation").drop("_role")
     model = fit_trees(stage(held, "held-sequences"), "target", "_held", **settings)
-    return model.transform(sequence_vectors(test, time, features, target, rows)).select(
+    return model.transform(sequence_vectors(test, time, features, target, rows, max_gap=max_gap)).select(
         time, F.col("target").alias("actual"), "predicted")

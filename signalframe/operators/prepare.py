@@ -159,18 +159,26 @@ def scale_split(split: DataFrame, features: Sequence[str], target: str) -> DataF
 
 
 def sequence_windows(df: DataFrame, time: str, features: Sequence[str], target: str,
-                     rows: int = config.SEQUENCE_ROWS, keys: Sequence[str] = ()) -> DataFrame:
+                     rows: int = config.SEQUENCE_ROWS, keys: Sequence[str] = (), max_gap: str | None = None) -> DataFrame:
     """(keys, time, sequence, target): the preceding ``rows`` feature rows of every row that has them.
 
-    ``keys`` keeps sequences inside one series.
+    ``keys`` keeps sequences inside one series.  With ``max_gap``, such as
+    "1 day", a sequence that steps over a longer hole, between its rows or to
+    its target, is left out; without it sequences cross the holes that a split
+    leaves.
     """
     step = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
     numbered = number_rows(df.select(*keys, time, step.alias("_step"), F.col(f"`{target}`").alias("target")), time, keys, "_row")
-    framed = trailing_windows(
-        numbered, "_row", rows,
-        lambda w: {"sequence": F.collect_list("_step").over(w.rowsBetween(-rows, -1))}, keys,
-    )
-    return framed.where(F.size("sequence") == rows).select(*keys, time, "sequence", "target")
+
+    def build(w):
+        made = {"sequence": F.collect_list("_step").over(w.rowsBetween(-rows, -1))}
+        return made | ({"_times": F.collect_list(clock.epoch_seconds(time)).over(w.rowsBetween(-rows, 0))} if max_gap else {})
+
+    framed = trailing_windows(numbered, "_row", rows, build, keys).where(F.size("sequence") == rows)
+    if max_gap:
+        near = F.forall(F.sequence(F.lit(1), F.lit(rows)), lambda k: F.get("_times", k) - F.get("_times", k - 1) <= clock.width_seconds(max_gap))
+        framed = framed.where(near)
+    return framed.select(*keys, time, "sequence", "target")
 
 
 def unscale(df: DataFrame, scalers: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:

@@ -83,7 +83,7 @@ def time_spine(df: DataFrame, time: str, start=None, end=None, width: str = "15
         (F.lit(start).cast("timestamp_ntz") if start is not None else F.min(time)).alias("_from"),
         (F.lit(end).cast("timestamp_ntz") if end is not None else F.max(time)).alias("_to"),
     )
-    seconds = F.lit(width_seconds(width)).cast("bigint")
+    seconds = F.lit(clock.width_seconds(width)).cast("bigint")
     steps = F.floor((clock.epoch_seconds("_to") - clock.epoch_seconds("_from")) / seconds)
     runs = bounds.where(F.col("_from") <= F.col("_to")).select(
         "_from", steps.alias("_steps"), F.explode(F.sequence(F.lit(0).cast("bigint"), steps, F.lit(1000).cast("bigint"))).alias("_run"))
@@ -92,11 +92,6 @@ def time_spine(df: DataFrame, time: str, start=None, end=None, width: str = "15
     return each.select(F.timestamp_add("SECOND", F.col("_i") * seconds, F.col("_from")).alias(time))
 
 
-def width_seconds(width: str) -> int:
-    number, unit = width.split()
-    return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
-
-
 def densify_spine(df: DataFrame, time: str = "time_bucket", start=None, end=None,
                   width: str = "15 minutes") -> DataFrame:
     """One row per interval, NULLs where the data has none; rows off the spine are dropped."""

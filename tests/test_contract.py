@@ -12,6 +12,7 @@ from signalframe.catalog import oracle
 from signalframe.catalog import queries as catalog
 from signalframe.operators import forecast, prepare, profile
 from signalframe.plans import flows
+from signalframe.plans.staging import stage
 from signalframe.sources import files
 
 QUERIES, ORACLES = catalog.QUERIES, oracle.ORACLES
@@ -74,6 +75,18 @@ def test_length_is_the_best_on_the_held_rows(spark, tmp_path):
     assert again.getNumTrees == model.getNumTrees
 
 
+def test_a_cut_model_is_the_shorter_fit(spark, tmp_path):
+    rows = spark.range(400).select((F.col("id") % 17).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"), F.sin("id").alias("c"))
+    table = stage(forecast.assemble(rows.withColumn("y", F.col("a") * 2 + F.col("b") * F.col("c")), ["a", "b", "c"]))
+    long, short = (forecast.learner("y", n, 3, 0.1, 7).fit(table) for n in (12, 5))
+    cut = forecast.first_trees(long, 5)
+    pairs = zip(cut.transform(table).orderBy("a", "b", "c").collect(), short.transform(table).orderBy("a", "b", "c").collect())
+    assert all(x.predicted == y.predicted for x, y in pairs)
+    assert cut.featureImportances == short.featureImportances and cut.getNumTrees == 5
+    forecast.save_model(cut, str(tmp_path / "m"))
+    assert forecast.load_model(str(tmp_path / "m")).transform(table).agg(F.sum("predicted")).first() == cut.transform(table).agg(F.sum("predicted")).first()
+
+
 def test_best_length_waits_for_the_patience():
     assert forecast.best_length([5, 4, 4.5, 4.4, 3, 3.5, 3.4], 3) == (5, False)
     assert forecast.best_length([5, 4, 4.5, 4.4, 4.2, 3], 3) == (2, True)

@@ -138,3 +138,12 @@ def test_sequences(table, frame):
     for i in (0, 100, len(got) - 1):
         assert [s[0] for s in got[i].sequence] == frame.c.iloc[i:i + 24].tolist()
         assert got[i].target == frame.c.iloc[i + 24]
+
+
+def test_sequences_do_not_cross_holes(spark):
+    days = [d for d in range(200) if d not in (40, 41, 90) and not 120 <= d < 130]
+    rows = spark.createDataFrame([(datetime(2024, 1, 1) + timedelta(days=d), float(d)) for d in days], "t timestamp_ntz, c double")
+    got = {r.t: [s[0] for s in r.sequence] for r in prepare.sequence_windows(rows, "t", ["c"], "c", rows=24, max_gap="1 day").collect()}
+    want = {datetime(2024, 1, 1) + timedelta(days=d): [float(x) for x in range(d - 24, d)] for d in days if all(x in days for x in range(d - 24, d + 1)) and d >= 24}
+    assert got == want and want
+    assert prepare.sequence_windows(rows, "t", ["c"], "c", rows=24).count() == len(days) - 24

@@ -178,3 +178,17 @@ def test_row_sample_is_repeatable(spark):
     a = articles.row_sample(df, 50, "id", seed=42).collect()
     b = articles.row_sample(df.repartition(9), 50, "id", seed=42).collect()
     assert a == b and a != articles.row_sample(df, 50, "id").collect() and len(a) == 50
+
+
+def test_large_samples_are_selected_without_one_task(spark, monkeypatch):
+    monkeypatch.setattr(articles, "TOP_ROWS", 10)
+    monkeypatch.setattr(articles, "DIGITS", 1)
+    df = spark.range(900).select(F.when(F.col("id") % 9 > 0, F.col("id")).alias("id")).repartition(5)  # a ninth without a key
+    draw = F.md5(F.concat(F.lit("42-"), F.col("id").cast("string")))
+    for n in (11, 100, 450, 899, 900, 2000):
+        got = articles.row_sample(df, n, "id", seed=42)
+        assert "TakeOrdered" not in got._jdf.queryExecution().executedPlan().toString()
+        key = lambda r: (r.id is not None, r.id or 0)
+        assert sorted(got.collect(), key=key) == sorted(df.orderBy(draw, "id").limit(n).collect(), key=key), n
+        first = articles.row_sample(df, n, "id")
+        assert sorted(first.collect(), key=key) == sorted(df.orderBy("id").limit(n).collect(), key=key), n
