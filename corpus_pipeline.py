@@ -6,16 +6,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalframe.llm import decontaminate, oddsketch, packing, quality, recipes
-from signalframe.llm.common import one_space, read
+from signalframe.llm.common import read
 from signalframe.plans.staging import stage
 
 #: Documents below this probability of being good are rejected.
 LEAST_QUALITY = 0.5
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not in ``dropped``; a row without doc_id cannot be named and stays."""
-    return docs.join(stage(dropped.select("doc_id").distinct(), "dropped"), "doc_id", "left_anti").select(docs.columns)
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a stored key of their own, and its name: decisions are made and applied for rows, whatever their doc_id."""
+    key = next(n for n in ("row_key", *(f"row_key_{i}" for i in range(len(docs.columns)))) if n not in docs.columns)
+    return stage(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
+
+
+def without(rows: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose key is not among ``dropped`` (column doc_id)."""
+    gone = stage(dropped.select(F.col("doc_id").alias(key)).distinct(), "dropped")
+    return rows.join(gone, key, "left_anti").drop(key)
+
+
+def all_but_first(rows: DataFrame, key: str, found: DataFrame) -> DataFrame:
+    """Keys (doc_id) of the rows of each group (doc_id, first) but the one with the smallest doc_id; a null one comes last."""
+    found = stage(found, "grouped-rows")
+    groups = stage(found.filter("doc_id <> first").select("first").distinct(), "groups")
+    ids = rows.select(F.col(key).alias("doc_id"), F.col("doc_id").alias("id"))
+    members = found.join(groups, "first", "left_semi").join(ids, "doc_id")
+    best = members.groupBy("first").agg(F.min(F.struct(F.col("id").isNull(), "id", "doc_id"))["doc_id"].alias("stays"))
+    return members.join(stage(best, "stays"), "first").filter("doc_id <> stays")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,24 +41,24 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first of equal texts; of rows that repeat doc_id and text, keep one."""
-    found = recipes.exact_duplicates(docs)
-    left = without(docs, found.filter(~F.col("kept")))
-    repeated = stage(left.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id"), "repeated-ids")
-    if repeated.isEmpty():
-        return left
-    again = left.join(repeated, "doc_id", "left_semi").withColumn("__text", one_space(F.col("text")))
-    return without(left, repeated).union(again.dropDuplicates(["doc_id", "__text"]).select(docs.columns))
+    """Keep one row of each group of equal texts, that of the smallest doc_id."""
+    rows, key = keyed(docs)
+    found = recipes.exact_duplicates(rows.select(F.col(key).alias("doc_id"), "text"))
+    copies = found.filter("group_size > 1").select("doc_id", F.col("keep_id").alias("first"))
+    return without(rows, key, all_but_first(rows, key, copies))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first of each class of near duplicates: five-word shingles, similarity of 0.8 or more."""
-    return without(docs, oddsketch.near_duplicates(docs, words=5, per_cent=80).filter(~F.col("kept")))
+    """Keep one row of each class of near duplicates, that of the smallest doc_id: five-word shingles, similarity of 0.8 or more."""
+    rows, key = keyed(docs)
+    found = oddsketch.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), words=5, per_cent=80)
+    return without(rows, key, all_but_first(rows, key, found.select("doc_id", F.col("component_id").alias("first"))))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that hold no item of the benchmark."""
-    return without(docs, decontaminate.leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text")))
+    """Keep the rows that hold no item of the benchmark."""
+    rows, key = keyed(docs)
+    return without(rows, key, decontaminate.leaks(rows.select(F.col(key).alias("doc_id"), "text"), read(spark, sf_dir, "benchmark", "item_id", "text")))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
