@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from compare import differences, duck
 from samples import AWKWARD, documents, edited, prose
 from test_decontaminate import brute as leaked
@@ -63,6 +64,27 @@ def test_repeated_rows_and_empty_tables(spark, tables):
         assert step(spark, docs.limit(0), folder).count() == 0
 
 
+def test_decisions_hold_for_rows_not_for_ids(spark, tables):
+    folder, _, items = tables
+    a, b = prose(60, 901), prose(60, 902)
+    near_a = edited(a + " " + prose(200, 903), 0.005, 1)
+    texts = [(3, a), (5, a), (5, b), (None, "x y z"), (None, "x  y z"), (7, "x y z"), (None, "x y z"), (None, items[0]), (5, items[1]), (None, ""), (None, None)]
+
+    def after(step, rows):
+        docs = documents(spark, [t for _, t in rows], [i for i, _ in rows]).withColumn("row_key", F.lit(1))
+        out = step(spark, docs, folder)
+        assert out.columns == docs.columns
+        return sorted(((r.doc_id, " ".join((r.text or "").split())) for r in out.collect()), key=repr)
+
+    one = after(corpus_pipeline.exact_stage, texts)
+    assert one == sorted([(3, a), (5, b), (7, "x y z"), (None, items[0]), (5, items[1]), (None, "")], key=repr)
+    long_a = a + " " + prose(200, 903)
+    two = after(corpus_pipeline.near_stage, [(None, long_a), (9, near_a), (8, long_a), (8, b), (None, b + " q"), (None, None), (1, " ")])
+    assert two == sorted([(8, " ".join(long_a.split())), (8, b), (None, ""), (1, "")], key=repr)
+    three = after(corpus_pipeline.benchmark_stage, [(None, f"{a} {items[0]} {b}"), (5, items[1]), (5, b), (None, a)])
+    assert three == sorted([(5, b), (None, a)], key=repr)
+
+
 @pytest.mark.parametrize("name", sorted(LLM_ORACLES))
 def test_query_equals_sql(spark, sf_dir, name):
     assert differences(LLM_QUERIES[name](spark, sf_dir).toArrow(), duck(sf_dir).sql(LLM_ORACLES[name]).to_arrow_table()) == []
