@@ -103,6 +103,13 @@ def may_be_common(word: Column) -> Column:
     return F.length(word).between(1, LONGEST_COMMON)
 
 
+def runs(words: Column) -> Column:
+    """Each distinct word of a sorted array with its number."""
+    starts = F.filter(F.transform(words, lambda w, i: F.when((i == 0) | (F.get(words, i - 1) != w), i)), lambda i: i.isNotNull())
+    return let(starts, lambda b: F.transform(b, lambda at, k: F.struct(
+        F.get(words, at).alias("word"), (F.coalesce(F.get(b, k + 1), F.size(words)) - at).cast("long").alias("n"))))
+
+
 def frequent_words(docs: DataFrame) -> list[str]:
     """Words that may be among the commonest of some language: one sketch a language, folded in each task.
 
@@ -120,8 +127,7 @@ def histograms(docs: DataFrame, candidates: list[str]) -> DataFrame:
     base = let(words, lambda w: F.struct(*[c.alias(n) for n, c in base_columns(text, w).items()]))
 
     def common(found: Column) -> Column:
-        counted = let(F.filter(found, lambda w: w.isin(candidates)), lambda kept: F.transform(
-            F.array_distinct(kept), lambda w: F.struct(w.alias("word"), F.size(F.filter(kept, lambda x: x == w)).cast("long").alias("n"))))
+        counted = let(F.sort_array(F.filter(found, lambda w: w.isin(candidates))), runs)
         n = F.size(found) - F.size(F.filter(F.array(F.get(found, F.lit(0)), F.element_at(found, -1)), lambda w: w == ""))
         return F.struct(F.greatest(n, F.lit(0)).cast("long").alias("n"), (counted if candidates else F.expr("cast(array() as array<struct<word:string,n:bigint>>)")).alias("common"))
 
@@ -180,12 +186,12 @@ def word_distance(plain: Column, reference: Reference) -> Column:
         return F.lit(0.0)
     shares = F.create_map(*[F.lit(x) for pair in reference.words.items() for x in pair])
     total, all_common = F.greatest(plain["n"], F.lit(1)), math.fsum(reference.words.values())
-    known = F.filter(plain["common"], lambda c: c["word"].isin(list(reference.words)))
+    known = F.transform(F.filter(plain["common"], lambda c: c["word"].isin(list(reference.words))), lambda c: F.struct(
+        (c["n"] / total).alias("p"), F.try_element_at(shares, c["word"]).alias("q")))
     folded = F.aggregate(
         known, F.struct(F.lit(all_common).alias("d"), F.lit(0.0).alias("p")),
         lambda a, c: F.struct(
-            (a["d"] + _part(c["n"] / total, F.try_element_at(shares, c["word"])) - F.try_element_at(shares, c["word"])).alias("d"),
-            (a["p"] + c["n"] / total).alias("p")),
+            (a["d"] + _part(c["p"], c["q"]) - c["q"]).alias("d"), (a["p"] + c["p"]).alias("p")),
     )
     return let(folded, lambda a: _distance(a["d"] + _part(1 - a["p"], F.lit(max(0.0, 1 - all_common)))))
 
