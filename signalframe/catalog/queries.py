@@ -22,7 +22,7 @@ from signalframe.operators import articles, buckets, correlate, forecast, joins,
 from signalframe.plans import flows
 from signalframe.plans.ordered import number_rows, trailing_windows
 from signalframe.plans.staging import new_folder, spread, stage
-from signalframe.sources import archives, files, manifest
+from signalframe.sources import archives, files, folders, manifest
 from signalframe.streaming import intervals, records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,11 +154,12 @@ def conform_columns(spark, sf_dir):
 def union_batches(spark, sf_dir):
     rows = fx.articles_table(spark, sf_dir).select(ID, "DATE", "V2Tone", "Counts", "V2Locations")
     india, france = F.col("V2Locations").isNotNull(), F.col("V2Locations").isNull()
-    return files.union_batches([
-        rows.where(india).select(ID, "DATE", "V2Tone"),
-        rows.where(france).select("Counts", "DATE", ID),
-        rows.select(ID, "V2Locations"),
-    ])
+    batches = [rows.where(india).select(ID, "DATE", "V2Tone"), rows.where(france).select("Counts", "DATE", ID), rows.select(ID, "V2Locations")]
+    folder = new_folder(spark, "batches")
+    for batch in batches:
+        files.write_table(batch, folder, "append", "csv")
+    found, _ = folders.scan_csv_folder(spark, folder, "DATE string, V2Tone string, Counts string, V2Locations string")
+    return found.select(ID, "DATE", "V2Tone", "Counts", "V2Locations")
 
 
 @query

@@ -82,13 +82,6 @@ def first_category(
     return F.coalesce(*[F.when(test, c) for c, test in tests.items()])
 
 
-def mention_categories(
-    mentions: Column, categories: Mapping[str, list[str]] = config.THEME_CATEGORIES
-) -> Column:
-    """Category of each mention of a record, NULL entries for themes outside all categories."""
-    return F.transform(F.transform(mentions, F.lower), lambda t: first_category(t, categories))
-
-
 def tone_parts(v2tone: str | Column) -> Column:
     """Pieces of the tone text, NULL unless the first six are all numbers."""
     text = as_column(v2tone)

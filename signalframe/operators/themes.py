@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalframe import config
@@ -82,19 +82,18 @@ def period_category_counts(
 ) -> DataFrame:
     """(period, category, n) from raw theme text; rows without a time are left out.
 
-    Mentions are tallied inside each row and then summed, so nothing is
-    exploded and only nine sums per period are shuffled.
+    Mentions are counted by theme and period in each task, and each distinct
+    name is put into its category once, whatever the number of its mentions.
+    The last sum holds nine counts per period.
     """
-    mentions = text.theme_mentions(column or theme_column(df))
     found = df.where(F.col(time).isNotNull()).select(
-        clock.day_period(F.hour(time)).alias("period"),
-        F.coalesce(text.mention_categories(mentions, categories), F.array().cast("array<string>")).alias("_found"),
-    )
-
-    def tally(category: str) -> Column:
-        return F.sum(F.size(F.filter("_found", lambda x: x == category))).alias(category)
-
-    sums = found.groupBy("period").agg(*[tally(c) for c in categories])
+        clock.day_period(F.hour(time)).alias("period"), text.theme_mentions(column or theme_column(df)).alias("_mentions"))
+    # a period without mentions is listed too: its one null name has no category
+    names = found.select("period", F.explode_outer("_mentions").alias("name"))
+    counted = names.groupBy("period", F.lower("name").alias("name")).agg(F.count("name").alias("n"))
+    marked = counted.select("period", text.first_category(F.col("name"), categories).alias("category"), "n")
+    sums = marked.groupBy("period").agg(*[
+        F.coalesce(F.sum(F.when(F.col("category") == c, F.col("n"))), F.lit(0)).alias(c) for c in categories])
     return spread_columns(sums, {c: c for c in categories}, "category", "n", ["period"])
 
 
