@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 #: White space as the contracts name it; a Java and a DuckDB pattern alike.
 SPACES = r"[\x20\x09-\x0D]+"
+#: Scripts written without spaces between words (Thai to Lao, Burmese, Khmer, Kana, ideographs), as a character class.
+UNSPACED = "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 #: Bytes of text that one call of a Python step gets at most, but for a single longer row.
 BATCH_BYTES = 8 << 20
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections import Counter
 from operator import eq
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalframe.llm import linear
-from signalframe.llm.common import map_texts
+from signalframe.llm.common import UNSPACED, map_texts
 
 #: Columns of the hashed features.
 COLUMNS = 1 << 12
@@ -26,7 +28,40 @@ MARKS = "#%&$*|{}<>=_~^\\@"
 
 
 #: Signs that may end a plain word.
-ENDS = ".,;:?'\")\u2019\u201d\u00bb"
+ENDS = ".,;:?'\")\u2019\u201d\u00bb\u3001\u3002\uff0c\uff01\uff1f\uff1a\uff1b\u300d\u300f\uff09\u060c\u061b\u061f\u0964\u037e\u00b7"
+#: Signs that may begin one.
+STARTS = "\"'(\u2018\u201c\u00ab\u00bf\u00a1\u300c\u300e\uff08"
+#: What ends a sentence.
+STOPS = (". ", ".\n", "? ", "! ", "\u3002", "\uff01", "\uff1f", "\u061f", "\u0964", "\u037e")
+_SIGN = re.compile(f"[{UNSPACED}]")
+_UNIT = re.compile(rf"[{re.escape(STARTS)}]*[{UNSPACED}][{re.escape(ENDS)}]*|[^\s{UNSPACED}]+")
+_CODE_LINE = re.compile(
+    r"\s*(?:(?://|#|/\*|\*|--).*|.*[;{}]|[)\]}]+[;,]*|[\w.:>-]+\(.*\)[;:,]?|[\w.\[\]\"'*&<>:, ]+[-+*/%|&^:]?= ?\S.*"
+    r"|(?:def|class|if|elif|else|for|while|try|except|with|func|fn|function|public|private|static|switch|case)\b.*[:{(,]"
+    r"|(?:return|import|from|package|use|using|raise|throw|break|continue|end|do|done|fi|pass)\b[\w\s.,()*+\"'\[\]/:-]*)\s*")
+
+
+def units(text: str) -> list[str]:
+    """Words as white space parts them; in scripts without spaces each character, with the punctuation around it."""
+    return _UNIT.findall(text) if _SIGN.search(text) else text.split()
+
+
+def is_plain(unit: str) -> bool:
+    """Whether a unit is letters, or one character of a script without spaces, but for punctuation around it.
+
+    Signs that combine with the letter before (vowels, tones) go with it.
+    """
+    bare = unit.strip(ENDS + STARTS)
+    return bare.isalpha() or bool(bare) and all(c.isalpha() or unicodedata.category(c)[0] == "M" for c in bare)
+
+
+def is_code(text: str) -> bool:
+    """Whether a text is made like a program: brackets that balance, and most lines in the form of statements."""
+    pairs = [(text.count(a), text.count(b)) for a, b in ("()", "[]", "{}")]
+    if not any(a and b for a, b in pairs) or any(abs(a - b) > 0.1 * (a + b) for a, b in pairs):
+        return False
+    lines = [line for line in text.split("\n") if line.strip()]
+    return sum(1 for line in lines if _CODE_LINE.fullmatch(line)) >= 0.7 * len(lines)
 
 
 def votes(text: str) -> str:
@@ -35,23 +70,28 @@ def votes(text: str) -> str:
     Faults: many marks, many cells, many words with odd signs, shouting,
     exclamation, repeated words, few different words, repeated lines.  Merits:
     plain lower-case words, varied words, sentences.  Most labellers speak for
-    one class only.
+    one class only.  Words are ``units``; in scripts without spaces variety is
+    that of three characters in a row.  Programs are not blamed for marks
+    and odd signs and count as plain.
     """
-    words = text.split()
+    words = units(text)
     n = len(words)
     if not n:
         return "-" * 11
     shouted = sum(map(str.isupper, words)) / n
     repeated = sum(map(eq, words, words[1:])) / n
-    plain = sum([w.rstrip(ENDS).isalpha() for w in words]) / n
-    different = len(set(words)) / n**0.5  # grows with the root of the length in prose
-    ends = sum(map(text.count, (". ", ".\n", "? ", "! "))) + (text.rstrip()[-1:] in ".!?")
+    plain = sum(map(is_plain, words)) / n
+    kinds = set(zip(words, words[1:], words[2:])) if n >= 20 and _SIGN.search(text) else set(words)
+    different = len(kinds) / n**0.5  # grows with the root of the length in prose
+    ends = sum(map(text.count, STOPS)) + (text.rstrip()[-1:] in ".!?")
+    marked = sum(map(text.count, MARKS)) > 0.2 * n
+    program = (marked or plain < 0.7) and is_code(text)
     lines = [line for line in text.split("\n") if len(line) > 20]
     faults = [
-        sum(map(text.count, MARKS)) > 0.2 * n, text.count("|") > 0.1 * n, plain < 0.7, shouted > 0.3 and n >= 5, text.count("!") > 0.2 * n and n >= 5,
+        marked and not program, text.count("|") > 0.1 * n, plain < 0.7 and not program, shouted > 0.3 and n >= 5, text.count("!") > 0.2 * n and n >= 5,
         repeated > 0.2 and n >= 5, different < 1.5 and n >= 20, len(lines) >= 6 and len(set(lines)) < 0.2 * len(lines),
     ]
-    merits = [plain > 0.9 and shouted < 0.1 and repeated < 0.05, repeated < 0.05 and different > 3 and n >= 20, 0.02 < ends / n < 0.5 and plain > 0.8]
+    merits = [(program or plain > 0.9) and shouted < 0.1 and repeated < 0.05, repeated < 0.05 and different > 3 and n >= 20, 0.02 < ends / n < 0.5 and plain > 0.8]
     return "".join("-B"[f] for f in faults) + "".join("-G"[m] for m in merits)
 
 
@@ -93,17 +133,21 @@ def expectation_maximisation(patterns: dict[str, int], rounds: int = 200) -> tup
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashed columns and weights of a text: odd signs at the ends of words, case, repeats, variety, length.
 
-    Each is a share of the words, drawn towards zero for short texts.
+    Each is a share of the words, drawn towards zero for short texts.  Programs
+    have no signs and count as plain.
     """
-    words = text.split()
+    words = units(text)
     n = len(words)
     if not n:
         return np.empty(0, np.int64), np.empty(0)
-    found = {f"last {c}": k for c, k in Counter("".join([w[-1] for w in words])).items() if not c.isalnum()}
-    found |= {f"first {c}": k for c, k in Counter("".join([w[0] for w in words])).items() if not c.isalnum()}
-    found |= {"shouted": sum(map(str.isupper, words)), "repeated": sum(map(eq, words, words[1:])), "few": max(0, n - len(set(words)))}
-    found |= {f"sign {c}": text.count(c) for c in MARKS + "!"}
-    found |= {"plain": sum([w.rstrip(ENDS).isalpha() for w in words]), f"length {n.bit_length()}": n}
+    signs, plain = sum(map(text.count, MARKS)), sum(map(is_plain, words))
+    program = (signs > 0.2 * n or plain < 0.7 * n) and is_code(text)
+    found = {} if program else {f"last {c}": k for c, k in Counter("".join([w[-1] for w in words])).items() if not c.isalnum()}
+    if not program:
+        found |= {f"first {c}": k for c, k in Counter("".join([w[0] for w in words])).items() if not c.isalnum()}
+        found |= {f"sign {c}": text.count(c) for c in MARKS + "!"}
+    found |= {"shouted": sum(map(str.isupper, words)), "repeated": sum(map(eq, words, words[1:])), "few": 0 if program or _SIGN.search(text) else max(0, n - len(set(words)))}
+    found |= {"plain": n if program else plain, f"length {n.bit_length()}": n}
     index = [zlib.crc32(key.encode("utf-8", "surrogatepass")) % COLUMNS for key, k in found.items() if k]
     return np.array(index, np.int64), np.array([min(1.0, k / n) * n / (n + 5) for k in found.values() if k])
 
