@@ -37,7 +37,8 @@ def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_trie_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(read(spark, sf_dir, "documents", "doc_id", "text"), token_counts.vocabulary(VOCABULARY))
+    return token_counts.token_counts(read(spark, sf_dir, "documents", "doc_id", "text"), token_counts.vocabulary(VOCABULARY),
+                                     token_counts.has_bytes(VOCABULARY))
 
 
 def op6_random_walks(spark: SparkSession, sf_dir: str) -> DataFrame:

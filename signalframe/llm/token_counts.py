@@ -12,11 +12,11 @@ from signalframe.llm.common import map_texts
 
 #: Nodes of a task's trie; a full trie is given up for a new one.
 NODES = 300_000
-#: Words of more characters go through the same steps without being stored.
+#: Longer words are cut where no piece can cross; longer parts go through the same steps without being stored.
 LONGEST_STORED = 48
 #: Sign that starts every word.
 START = "▁"
-#: Score of a character that no piece covers, below the least of the pieces.
+#: What a character that no piece covers scores below the least of the pieces.
 UNKNOWN = 10.0
 
 
@@ -24,7 +24,7 @@ def vocabulary(path: str) -> dict[str, float]:
     """Pieces of a published vocabulary file, with the logarithm of a probability that falls with the rank by Zipf's law.
 
     Read once, on the driver; the size is that of the file.  Control, unknown
-    and byte pieces are left out.
+    and byte pieces are left out; the last are no text, see ``has_bytes``.
     """
     import sentencepiece
 
@@ -34,16 +34,26 @@ def vocabulary(path: str) -> dict[str, float]:
     return {piece: -math.log(k + 2) - total for k, piece in enumerate(pieces)}
 
 
+def has_bytes(path: str) -> bool:
+    """Whether a vocabulary file has byte pieces, so that an uncovered character is written by its UTF-8 bytes."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    return any(model.is_byte(k) for k in range(model.get_piece_size()))
+
+
 class Trie:
     """Distinct words by their prefixes; a node keeps the best score, and the tokens of it, of the prefix that it is.
 
     The score of a prefix depends on the prefix alone, so words that share one
     share its nodes, and each is computed once.  Of equal scores the one with
-    fewer tokens wins.
+    fewer tokens wins.  A character that no piece covers is as many tokens as
+    it has UTF-8 bytes, or one if the vocabulary has no bytes.
     """
 
-    def __init__(self, pieces: dict[str, float]):
-        self.pieces = pieces
+    def __init__(self, pieces: dict[str, float], by_bytes: bool = True):
+        self.pieces, self.by_bytes = pieces, by_bytes
+        self.neighbours = {piece[k : k + 2] for piece in pieces for k in range(len(piece) - 1)}
         self.longest = max(map(len, pieces), default=0)
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN
         self.clear()
@@ -55,7 +65,8 @@ class Trie:
 
     def step(self, word: str, end: int, score: list[float], tokens: list[int]) -> tuple[float, int]:
         """Best score and tokens of word[:end], given those of all shorter prefixes; ``score[j]`` is that of word[:j]."""
-        best, least = score[end - 1] + self.unknown, tokens[end - 1] + 1
+        spelled = len(word[end - 1].encode("utf-8", "surrogatepass")) if self.by_bytes else 1
+        best, least = score[end - 1] + self.unknown, tokens[end - 1] + spelled
         pieces = self.pieces
         for start in range(max(0, end - self.longest), end):
             value = pieces.get(word[start:end])
@@ -66,7 +77,19 @@ class Trie:
         return best, least
 
     def count(self, word: str) -> int:
-        """Tokens of the best segmentation of a word (with its start sign)."""
+        """Tokens of the best segmentation of a word (with its start sign).
+
+        A long one, such as a line of a script without spaces, is cut first
+        where two characters meet that stand together in no piece: no token
+        spans such a place, so the parts add up to the whole.
+        """
+        if len(word) <= LONGEST_STORED:
+            return self.part(word)
+        cuts = [0, *(k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.neighbours), len(word)]
+        return sum([self.part(word[a:b]) for a, b in zip(cuts, cuts[1:])])
+
+    def part(self, word: str) -> int:
+        """Tokens of the best segmentation of a text that is not cut further."""
         if (known := self.counts.get(word)) is not None:
             return known
         stored = len(word) <= LONGEST_STORED
@@ -95,7 +118,7 @@ class Trie:
         return tokens[-1]
 
 
-def token_counts(docs: DataFrame, pieces: dict[str, float]) -> DataFrame:
+def token_counts(docs: DataFrame, pieces: dict[str, float], by_bytes: bool = True) -> DataFrame:
     """doc_id, n_words and n_tokens of every document (doc_id, text) under a unigram vocabulary.
 
     Words are what white space parts, each with the start sign before it.
@@ -103,13 +126,13 @@ def token_counts(docs: DataFrame, pieces: dict[str, float]) -> DataFrame:
     counts are multiplied by the words' occurrences.  Memory is bounded by NODES
     and by the batch; nothing is shuffled.  Null, empty and blank texts count
     0; rows that repeat are all counted.  Characters that no piece covers
-    are one token each.
+    are a token for each of their UTF-8 bytes, or one each without ``by_bytes``.
     """
     tries: list[Trie] = []
 
     def step(texts: list[str]) -> dict[str, object]:
         if not tries:
-            tries.append(Trie(pieces))
+            tries.append(Trie(pieces, by_bytes))
         trie, words, tokens = tries[0], [], []
         split = [Counter(t.split()) for t in texts]
         counts = _counted(trie, set().union(*split))

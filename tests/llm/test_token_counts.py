@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from samples import AWKWARD, documents, prose
 from tokenizers import Tokenizer
@@ -18,7 +20,7 @@ def brute(pieces, word):
     worst = min(pieces.values()) - t.UNKNOWN
     for end in range(1, len(word) + 1):
         found = [(best[s][0] + pieces[word[s:end]], best[s][1] + 1) for s in range(end) if word[s:end] in pieces]
-        found.append((best[end - 1][0] + worst, best[end - 1][1] + 1))
+        found.append((best[end - 1][0] + worst, best[end - 1][1] + len(word[end - 1].encode())))
         best[end] = max(found, key=lambda x: (x[0], -x[1]))
     return best[len(word)][1]
 
@@ -33,6 +35,26 @@ def test_equals_brute_force_and_a_published_library(pieces):
         assert trie.count(t.START + w) == len(other.encode(t.START + w).tokens)
 
 
+def test_uncovered_characters_are_written_by_their_bytes(pieces):
+    assert t.has_bytes(VOCABULARY)
+    words = ["\u0294\u02a8\u0298", "\u9f98\u9750", "\ufb03", "a\ufb03b", "\U00020000", "naïve"]
+    coded = [(f"<0x{k:02X}>", -100.0) for k in range(256)]
+    other = Tokenizer(Unigram([("<unk>", 0.0), *pieces.items(), *coded], 0, byte_fallback=True))
+    trie = t.Trie(pieces)
+    assert [trie.count(t.START + w) for w in words] == [len(other.encode(t.START + w).tokens) for w in words]
+    assert t.Trie(pieces, by_bytes=False).part("\ufb03") == 1
+
+
+def test_long_lines_without_spaces_are_cut_where_no_piece_crosses(pieces):
+    draw = random.Random(3)
+    signs = [p for p in pieces if len(p) == 1 and p > "\u3040"] + ["\u9f98"]
+    trie = t.Trie(pieces)
+    for _ in range(20):
+        line = "".join(draw.choices(signs, k=200))
+        assert trie.count(t.START + line) == brute(pieces, t.START + line)
+    assert len(trie.counts) > 20
+
+
 def test_shared_prefixes_are_stored_once(pieces):
     trie = t.Trie(pieces)
     trie.count("abcdef")
