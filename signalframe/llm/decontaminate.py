@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalframe.llm.common import sliced
+from signalframe.llm.common import UNSPACED, sliced
 from signalframe.llm.oddsketch import mixed
 from signalframe.plans.staging import stage
 
@@ -23,15 +23,24 @@ WALKS, PLACES = 24, 3
 STRETCH = 1.5
 #: Items below so many words must occur unchanged.
 SHORT = 5
-#: Log of the bits of the bitmaps that every task holds: words, pairs of words, and keys of the benchmark.
-BITMAP = 22
+#: Bits for each entry of the bitmaps that every task holds (words, pairs of words, and keys of the benchmark), and the
+#: least and largest logarithm of their size.  A bitmap that is full lets more through to the exact steps.
+BITS, SMALLEST, LARGEST = 32, 22, 26
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+_ALONE = re.compile(f"[{UNSPACED}]")
+_APART = re.compile("[\u2010-\u2027\u2030-\u205e\u3000-\u303f\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """64-bit hashes of the words of a text: runs of letters and digits, in lower case."""
+    """64-bit hashes of the words of a text: runs of letters and digits, in lower case.
+
+    In scripts without spaces every character is a word.  Punctuation, wide
+    forms too, parts words.
+    """
+    if not text.isascii():
+        text = _ALONE.sub(r" \g<0> ", _APART.sub(" ", text))
     words = _WORD.findall(text.lower().encode("utf-8", "surrogatepass"))
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
@@ -89,16 +98,17 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, size: int, stops: np.ndarra
 
 def bit_of(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     """Whether the bitmap has the bits of the hashes."""
-    low = hashes & np.uint64((1 << BITMAP) - 1)
+    low = hashes & np.uint64((len(bitmap) << 6) - 1)
     return (bitmap[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) == 1
 
 
 def bitmap_of(hashes: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of fixed size, whatever the number of rows.  Runs a job; at most 2**(BITMAP - 6) rows reach the driver."""
-    low = F.col(column).bitwiseAND(F.lit((1 << BITMAP) - 1))
+    """A bitmap of a size that fits the number of rows, up to 8 MB.  Runs two jobs; at most 2**(LARGEST - 6) rows reach the driver."""
+    size = min(LARGEST, max(SMALLEST, (BITS * hashes.count()).bit_length()))
+    low = F.col(column).bitwiseAND(F.lit((1 << size) - 1))
     words = F.shiftright(low, 6).cast("int")
     found = hashes.groupBy(words.alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({column} & 63L as int))")).alias("b")).collect()
-    bitmap = np.zeros(1 << (BITMAP - 6), np.int64)
+    bitmap = np.zeros(1 << (size - 6), np.int64)
     for row in found:
         bitmap[row.w] = row.b
     return bitmap.view(np.uint64)
@@ -213,7 +223,8 @@ def verified(candidates: DataFrame) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Items of ``benchmark`` (item_id, text) that documents (doc_id, text) hold, up to ERRORS of their words.
 
-    Texts are word sequences without case and punctuation.  Items are embedded
+    Texts are word sequences without case and punctuation; characters of scripts
+    without spaces are words.  Items are embedded
     by random walks, which turn word edits into differing places; WALKS samples
     of PLACES places each are the keys of an item.  Windows of the items' sizes
     at every word of every document that share a key are compared with the item
