@@ -10,9 +10,16 @@ from pyspark.sql import functions as F
 from signalframe.llm.common import one_space
 from signalframe.plans.staging import stage
 
+#: About a quarter of the letters of the scripts beyond Latin: the first ones of each alphabet, syllabary or block.
+FIRST = (r"\u0391-\u0395\u03b1-\u03b5\u0410-\u0418\u0430-\u0438\u05d0-\u05d6\u0621-\u062a\u0905-\u0920\u0e01-\u0e18"
+         r"\u1000-\u1008\u1780-\u1788\u3041-\u3054\u30a1-\u30b4\u4e00-\u56ff\uac00-\ub5ff")
+#: Where a chunk may end, by the characters before the cut, about once in some hundred: Latin words with anything but a
+#: letter between, other scripts, figures, letters and figures mixed without spaces (codes).
+CUTS = (r"[aeoAEO][b-mB-M][ !-/:-@\[-`{-~][n-zN-Z]", f"[{FIRST}]{{2}}[^\\x00-\u02ff{FIRST}][{FIRST}]", "[01][23][45][67]",
+        "[0-9][A-M][a-m][N-Z]", "[0-2][a-c][5-9][a-f]")
 #: A chunk ends where the text around the cut says so, 256 characters after its start at
 #: the earliest and 8,192 at the latest.  Text between equal cuts gives equal chunks.
-CHUNK = r"(?s).{256,8188}?(?:[aeoAEO][b-mB-M] [n-zN-Z]|\z)|.{1,8192}"
+CHUNK = rf"(?s).{{256,8188}}?(?:{'|'.join(CUTS)}|\z)|.{{1,8192}}"
 
 
 def sha256(text: Column) -> Column:
