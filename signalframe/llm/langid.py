@@ -28,6 +28,16 @@ UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def words_of(text: str) -> Counter[str]:
+    """The runs of letters of a text in lower case, as ``\\p{L}+`` finds them in ``fit``; other numerals are no letters."""
+    found = Counter(_LETTERS.findall(text.lower()))
+    for mixed in [w for w in found if not w.isalpha()]:
+        n = found.pop(mixed)
+        for word in "".join(c if c.isalpha() else " " for c in mixed).split():
+            found[word] += n
+    return found
+
+
 def held_out(ids: Column) -> Column:
     """Whether crc32 of the id as text leaves no remainder by 5; a null id counts as empty text."""
     return F.crc32(F.coalesce(ids.cast("string"), F.lit("")).cast("binary")) % 5 == 0
@@ -79,7 +89,7 @@ class Model:
 
     def predict(self, text: str) -> tuple[str, float]:
         """The likeliest language and its posterior, all languages alike before; of equal ones the first by name."""
-        words = Counter(_LETTERS.findall(text.lower()))
+        words = words_of(text)
         if not words or not self.languages:
             return UNDETERMINED, 0.0
         score = np.zeros(len(self.languages))
