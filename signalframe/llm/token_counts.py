@@ -65,7 +65,7 @@ class Trie:
 
     def step(self, word: str, end: int, score: list[float], tokens: list[int]) -> tuple[float, int]:
         """Best score and tokens of word[:end], given those of all shorter prefixes; ``score[j]`` is that of word[:j]."""
-        spelled = len(word[end - 1].encode("utf-8", "surrogatepass")) if self.by_bytes else 1
+        spelled = 1 if word[end - 1] < "\x80" or not self.by_bytes else len(word[end - 1].encode("utf-8", "surrogatepass"))
         best, least = score[end - 1] + self.unknown, tokens[end - 1] + spelled
         pieces = self.pieces
         for start in range(max(0, end - self.longest), end):
