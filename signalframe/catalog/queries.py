@@ -730,19 +730,22 @@ def sequence_forecast(spark, sf_dir):
 
 # --- streaming ----------------------------------------------------------------------------------
 
+#: Bytes of arrived files that a batch takes at most (a larger file is one batch): batches go with the size, not with the number of files.
+TRIGGER_BYTES = 1 << 30
+
+
 def follow(spark: SparkSession, folder: str, schema: T.StructType, names: str = "*.parquet") -> DataFrame:
-    return spark.readStream.schema(schema).options(maxFilesPerTrigger=1, pathGlobFilter=names).parquet(folder)
+    return spark.readStream.schema(schema).options(maxBytesPerTrigger=TRIGGER_BYTES, pathGlobFilter=names).parquet(folder)
 
 
 @query
 def stream_new_records(spark, sf_dir):
     rows = fx.articles_table(spark, sf_dir)
-    arriving, store = new_folder(spark, "arriving"), new_folder(spark, "store")
-    # three arriving batches, the third repeats the records of both others
+    arriving, store, mark = (new_folder(spark, n) for n in ("arriving", "store", "checkpoint"))
+    # three arriving batches, the third repeats the records of both others; the stream runs after each
     for batch in (F.col("V2Locations").isNotNull(), F.col("V2Locations").isNull(), F.lit(True)):
         rows.where(batch).write.mode("append").parquet(arriving)
-    run = records.stream_new_records(follow(spark, arriving, rows.schema), store, new_folder(spark, "checkpoint"))
-    run.awaitTermination()
+        records.stream_new_records(follow(spark, arriving, rows.schema), store, mark).awaitTermination()
     kept = articles.enrich_articles(rows).schema
     return records.read_store(spark, store, kept).select(ID, "datetime", *FLAGS, "tone_tone", "entity_count", "avg_amount")
 

@@ -33,13 +33,15 @@ def append_new(batch: DataFrame, store: str, key: str, enrich: Callable[[DataFra
     Only the days of the batch are looked up: an id names its day, so it is
     nowhere else.  The days, at most as many as the calendar has, pass through
     the driver.  A batch that is replayed after a failure finds its own ids in
-    the store and adds nothing twice.
+    the store and adds nothing twice.  Rows are rebalanced on the day before
+    they are written: the lookups of later batches open few files.
     """
     days = [r[0] for r in batch.select(id_day(key)).distinct().collect()]
     shape = T.StructType([f for f in batch.schema if f.name == key])
     stored = read_store(batch.sparkSession, store, shape).where(F.col(DAY).isin(days))
     once = new_records(batch.dropDuplicates([key]), stored, key)
-    enrich(once).withColumn(DAY, id_day(key)).write.mode("append").partitionBy(DAY).parquet(store)
+    named = enrich(once).withColumn(DAY, id_day(key))
+    named.hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(store)
 
 
 def stream_new_records(
@@ -49,7 +51,12 @@ def stream_new_records(
     key: str = "GKGRECORDID",
     enrich: Callable[[DataFrame], DataFrame] = enrich_articles,
 ) -> StreamingQuery:
-    """Work through all files that have arrived, then stop; run again for the next ones."""
+    """Work through all files that have arrived, then stop; run again for the next ones.
+
+    Every batch looks up the stored ids of its days, so bound batches by bytes
+    (``maxBytesPerTrigger``): with a bound on files many small ones cost as
+    many lookups.
+    """
     spark = arriving.sparkSession
     # a first run starts from an empty table, later runs keep what is stored
     empty = enrich(spark.createDataFrame([], arriving.schema)).withColumn(DAY, id_day(key))

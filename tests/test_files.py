@@ -232,6 +232,35 @@ def test_only_the_days_of_a_batch_are_looked_up(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(stored_day" in stored._jdf.queryExecution().executedPlan().toString()
 
 
+def test_batches_of_a_stream_go_with_bytes_not_files(spark, sf_dir, tmp_path, monkeypatch):
+    from signalframe.catalog import queries
+
+    arriving = str(tmp_path / "arriving")
+    rows = fx.articles_table(spark, sf_dir)
+    rows.repartition(6).write.parquet(arriving)
+    batches = lambda mark: len(list((tmp_path / mark / "commits").glob("[0-9]*")))
+    ids = lambda store: sorted(r[0] for r in spark.read.parquet(str(tmp_path / store)).select("GKGRECORDID").collect())
+    records.stream_new_records(follow(spark, arriving, rows.schema), str(tmp_path / "store"), str(tmp_path / "mark")).awaitTermination()
+    assert batches("mark") == 1
+    monkeypatch.setattr(queries, "TRIGGER_BYTES", 1)  # every file is larger
+    records.stream_new_records(follow(spark, arriving, rows.schema), str(tmp_path / "store2"), str(tmp_path / "mark2")).awaitTermination()
+    assert batches("mark2") == 6 and ids("store") == ids("store2")
+
+
+def test_a_batch_adds_one_small_file_for_each_of_its_days(spark, tmp_path):
+    store = str(tmp_path / "store")
+    rows = spark.createDataFrame([(f"2024010{d}000000-{k}",) for d in (1, 2) for k in range(200)], "GKGRECORDID string")
+    rows.limit(0).withColumn(records.DAY, records.id_day("GKGRECORDID")).write.partitionBy(records.DAY).parquet(store)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as with a batch too large for one task
+    try:
+        for batch in (rows.limit(300), rows):
+            records.append_new(batch, store, "GKGRECORDID", lambda df: df)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(store).count() == 400
+    assert all(len(list(day.glob("*.parquet"))) <= 2 for day in (tmp_path / "store").glob("stored_day=*"))
+
+
 def test_stream_folds_every_row_whatever_the_order(spark, sf_dir, tmp_path):
     events, arriving = fx.table(spark, sf_dir, "events"), str(tmp_path / "arriving")
     middle = events.agg(F.expr("percentile_approx(ts, array(0.3, 0.6))")).first()[0]
