@@ -54,7 +54,11 @@ class Trie:
     def __init__(self, pieces: dict[str, float], by_bytes: bool = True):
         self.pieces, self.by_bytes = pieces, by_bytes
         self.neighbours = {piece[k : k + 2] for piece in pieces for k in range(len(piece) - 1)}
-        self.longest = max(map(len, pieces), default=0)
+        # lengths of the pieces that end in one, two or three characters, longest first: no other is looked up
+        ends: dict[str, set[int]] = {}
+        for piece in filter(None, pieces):
+            ends.setdefault(piece[-3:], set()).add(len(piece))
+        self.lengths = {e: tuple(sorted(ends[e].union(*[ends.get(e[k:], ()) for k in (1, 2)]), reverse=True)) for e in ends}
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN
         self.clear()
 
@@ -65,12 +69,18 @@ class Trie:
 
     def step(self, word: str, end: int, score: list[float], tokens: list[int]) -> tuple[float, int]:
         """Best score and tokens of word[:end], given those of all shorter prefixes; ``score[j]`` is that of word[:j]."""
-        spelled = 1 if word[end - 1] < "\x80" or not self.by_bytes else len(word[end - 1].encode("utf-8", "surrogatepass"))
-        best, least = score[end - 1] + self.unknown, tokens[end - 1] + spelled
-        pieces = self.pieces
-        for start in range(max(0, end - self.longest), end):
-            value = pieces.get(word[start:end])
-            if value is not None:
+        last = word[end - 1]
+        best = score[end - 1] + self.unknown
+        least = tokens[end - 1] + (1 if last < "\x80" or not self.by_bytes else len(last.encode("utf-8", "surrogatepass")))
+        pieces, lengths = self.pieces, self.lengths
+        found = lengths.get(word[end - 3 : end]) if end > 2 else None
+        if found is None:
+            found = lengths.get(word[end - 2 : end]) if end > 1 else None
+            if found is None:
+                found = lengths.get(last, ())
+        for length in found:
+            if length <= end and (value := pieces.get(word[end - length : end])) is not None:
+                start = end - length
                 value += score[start]
                 if value > best or value == best and tokens[start] + 1 < least:
                     best, least = value, tokens[start] + 1
@@ -145,4 +155,5 @@ def token_counts(docs: DataFrame, pieces: dict[str, float], by_bytes: bool = Tru
 
 
 def _counted(trie: Trie, words: Iterable[str]) -> dict[str, int]:
-    return {w: trie.count(START + w) for w in words}
+    # in order, so that words that share nodes follow each other
+    return {w: trie.count(START + w) for w in sorted(words)}

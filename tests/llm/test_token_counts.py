@@ -35,6 +35,31 @@ def test_equals_brute_force_and_a_published_library(pieces):
         assert trie.count(t.START + w) == len(other.encode(t.START + w).tokens)
 
 
+def test_only_pieces_with_the_right_ending_are_looked_up(pieces):
+    class Asked(dict):
+        n = 0
+
+        def get(self, *args):
+            self.n += 1
+            return super().get(*args)
+
+    words = set(prose(2000, 1).split()) | {"international" * 2, "unbelievable", "zqxjkvzqxjkv"}
+    asked = Asked(pieces)
+    trie = t.Trie(asked)
+    assert [trie.count(t.START + w) for w in words] == [t.Trie(pieces).count(t.START + w) for w in words]
+    assert asked.n < 5 * (len(trie.score) - 1)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_any_vocabulary_equals_brute_force(seed):
+    draw = random.Random(seed)
+    spell = lambda most: "".join(draw.choices("abé▁", k=draw.randint(1, most)))
+    pieces = {spell(6): -draw.randint(1, 40) / 4 for _ in range(draw.randint(1, 40))}  # quarters add up exactly, so ties are ties
+    trie = t.Trie(pieces)
+    for w in (spell(12) for _ in range(100)):
+        assert trie.count(t.START + w) == brute(pieces, t.START + w)
+
+
 def test_uncovered_characters_are_written_by_their_bytes(pieces):
     assert t.has_bytes(VOCABULARY)
     words = ["\u0294\u02a8\u0298", "\u9f98\u9750", "\ufb03", "a\ufb03b", "\U00020000", "naïve"]
